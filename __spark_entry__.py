@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -15,9 +16,8 @@ import oracle_texts
 from tunemart import scratch
 from tunemart.functions.coerce import EPOCH
 from tunemart.operators import constraints
-from tunemart.plans import dims, fact, reports, tables
-from tunemart.plans.pipeline import build_star
-from tunemart.schemas import DIM_ARTIST, DIM_SONG, DIM_TIME, DIM_USER, FACT_SONGPLAY
+from tunemart.plans import dims, fact, pipeline, reports, tables
+from tunemart.schemas import DIM_ARTIST, DIM_SONG, DIM_TIME, DIM_USER, FACT_SONGPLAY, STAR
 from tunemart.sources.adapter import staging_events, staging_songs
 from tunemart.sources.json_records import read_events, read_songs
 
@@ -138,34 +138,38 @@ def length_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _loaded(spark: SparkSession, star: dict[str, DataFrame], names: list[str]) -> str:
-    """A database of its own with the named star tables filled."""
+def _staged_database(spark: SparkSession, sf_dir: str) -> str:
+    """A database of its own with both staging tables filled and the star tables empty."""
     database = scratch.new_database(spark)
     tables.create_tables(spark, database)
+    for name, rows in zip(("staging_events", "staging_songs"), _staging(spark, sf_dir)):
+        tables.append(rows, name, database)
+    return database
+
+
+def _load(spark: SparkSession, database: str, *names: str) -> None:
+    star = pipeline.build_star(*pipeline.staged(spark, database))
     for name in names:
         tables.append(star[name], name, database)
-    return database
 
 
 def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts after the same rows were appended two times."""
-    star = build_star(*_staging(spark, sf_dir))
-    database = _loaded(spark, star, [*star, *star])
+    """Row counts after the star tables were filled two times."""
+    database = _staged_database(spark, sf_dir)
+    pipeline.insert_tables(spark, database)
+    pipeline.insert_tables(spark, database)
     counts = [
-        spark.table(f"`{database}`.`{name}`")
+        spark.table(f"`{database}`.`{table.name}`")
         .agg(F.count("*").alias("n_rows"))
-        .select(F.lit(name).alias("table_name"), "n_rows")
-        for name in star
+        .select(F.lit(table.name).alias("table_name"), "n_rows")
+        for table in STAR
     ]
-    first, *rest = counts
-    for count in rest:
-        first = first.unionByName(count)
-    return first
+    return reduce(DataFrame.unionByName, counts)
 
 
 def truncate_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the song dimension as it is loaded, emptied, reloaded and refreshed."""
-    songs = dims.dim_song(staging_songs(spark, sf_dir))
+    songs = scratch.materialize(dims.dim_song(staging_songs(spark, sf_dir)), "songs")
     database = scratch.new_database(spark)
     log = f"`{database}`.`counts`"
     spark.sql(f"CREATE TABLE {log} (step STRING, n_rows BIGINT) USING parquet")
@@ -190,8 +194,8 @@ def truncate_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bucketed_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plays with their song, both tables bucketed on the song id."""
-    star = build_star(*_staging(spark, sf_dir))
-    database = _loaded(spark, star, ["factSongPlay", "dimSong"])
+    database = _staged_database(spark, sf_dir)
+    _load(spark, database, "factSongPlay", "dimSong")
     joined = tables.join_song_dimension(spark, database, hint="merge")
     return joined.select(
         "start_time", "user_id", "session_id", "song_id", "artist_id", "title", "year", "duration"
@@ -200,8 +204,8 @@ def bucketed_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten most played artists, as SQL on the loaded tables."""
-    star = build_star(*_staging(spark, sf_dir))
-    database = _loaded(spark, star, ["factSongPlay", "dimArtist"])
+    database = _staged_database(spark, sf_dir)
+    _load(spark, database, "factSongPlay", "dimArtist")
     return spark.sql(f"""
         SELECT artist_id, artist_name, plays
         FROM (SELECT artist_id, count(*) AS plays FROM {database}.factSongPlay GROUP BY artist_id)

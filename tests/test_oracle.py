@@ -1,0 +1,82 @@
+"""Every registered query against its SQL in DuckDB, and the known row counts."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF_DIR
+from oracle import connect, duckdb_rows, spark_rows
+
+import __spark_entry__ as entry
+from tunemart import scratch
+
+QUERIES = entry.queries()
+ORACLE = entry.oracle_sql()
+
+# Rows at sf0.01.
+KNOWN_ROWS = {
+    "fact_songplay": 2878,
+    "fact_songplay_keyed": 2878,
+    "fact_join_no_distinct": 2949,
+    "dim_user": 150,
+    "dim_song": 1800,
+    "dim_song_ranked": 2000,
+    "dim_artist": 2000,
+    "dim_artist_dedup": 97,
+    "dim_time": 10132,
+    "songs_of_year": 35,
+    "song_duplicate_audit": 1800,
+    "load_events_jsonpaths": 10200,
+    "load_songs_auto": 2000,
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_sql():
+    assert QUERIES.keys() == ORACLE.keys()
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_equals_sql(spark, duck, name):
+    with scratch.scope():
+        result = QUERIES[name](spark, SF_DIR)
+        rows = spark_rows(result)
+        types = dict(result.dtypes)
+    assert rows == duckdb_rows(duck, ORACLE[name])
+    if SF_DIR.endswith("sf0.01") and name in KNOWN_ROWS:
+        assert len(rows) == KNOWN_ROWS[name]
+    sql_types = {"VARCHAR": "string", "INTEGER": "int", "TIMESTAMP": "timestamp_ntz"}
+    reply = duck.sql(ORACLE[name])
+    expected = {c: sql_types.get(str(t), str(t).lower()) for c, t in zip(reply.columns, reply.types)}
+    assert types == expected
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() == 287
+
+
+def test_audit_is_sorted(spark):
+    rows = QUERIES["staging_song_duplicate_audit"](spark, SF_DIR).collect()
+    assert rows == sorted(rows, key=lambda r: (r["count"], r["song_id"]))
+
+
+def test_star_properties(spark):
+    star = {n: QUERIES[n](spark, SF_DIR) for n in ("fact_songplay", "dim_song", "dim_user")}
+    fact, song, user = star["fact_songplay"], star["dim_song"], star["dim_user"]
+    assert fact.join(song, "song_id", "left_anti").count() == 0
+    assert fact.join(user, "user_id", "left_anti").count() == 0
+    assert song.count() == song.select("song_id").distinct().count()
+    assert user.count() == user.select("user_id").distinct().count()
+    assert fact.count() == fact.distinct().count()
+    events = entry.staging_events(spark, SF_DIR)
+    kept = user.join(
+        events.selectExpr(
+            "userId AS user_id", "firstName AS first_name", "lastName AS last_name", "gender", "level"
+        ),
+        user.columns,
+        "left_anti",
+    )
+    assert kept.count() == 0

@@ -1,0 +1,83 @@
+"""The physical plans that the load relies on."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from tunemart import scratch
+from tunemart.plans import dims, fact
+from tunemart.sources.adapter import staging_events, staging_songs
+from conftest import SF_DIR
+
+
+@pytest.fixture(scope="module")
+def staged(spark):
+    with scratch.scope():
+        yield (
+            scratch.materialize(staging_events(spark, SF_DIR), "events"),
+            scratch.materialize(staging_songs(spark, SF_DIR), "songs"),
+        )
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+def schemas(text: str) -> list[set[str]]:
+    return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<(.*)>", text)]
+
+
+def test_fact_filters_and_columns_reach_the_scan(staged):
+    text = plan(fact.song_plays(*staged))
+    assert "EqualTo(page,NextSong)" in text
+    assert text.count("IsNotNull(") >= 4
+    assert sorted(map(len, schemas(text))) == [4, 9]
+
+
+def test_small_songs_are_broadcast_and_large_ones_shuffled(staged, conf):
+    assert "BroadcastHashJoin" in plan(fact.song_plays(*staged))
+    conf(spark__sql__autoBroadcastJoinThreshold=1024)
+    text = plan(fact.song_plays(*staged))
+    assert "SortMergeJoin" in text and "BroadcastExchange" not in text
+
+
+def test_no_plan_has_a_cross_join_or_a_global_window(staged):
+    events, songs = staged
+    frames = [
+        fact.song_plays(events, songs),
+        dims.dim_user(events),
+        dims.dim_song(songs),
+        dims.dim_artist_dedup(songs),
+        dims.dim_time_dedup(events),
+        fact.keyed_song_plays(fact.song_plays(events, songs)),
+    ]
+    for df in frames:
+        text = plan(df)
+        assert "Cartesian" not in text and "NestedLoop" not in text
+        assert "SinglePartition" not in text
+
+
+def test_one_row_per_key_leaves_each_map_task(staged):
+    events, songs = staged
+    for df in (dims.dim_user(events), dims.dim_song(songs), dims.dim_artist_dedup(songs)):
+        text = plan(df)
+        assert text.index("WindowGroupLimit") < text.index("Exchange")
+        assert "Partial" in text and "Final" in text
+    assert "IsNotNull(userId)" in plan(dims.dim_user(events))
+
+
+def test_distinct_is_combined_before_the_shuffle(staged):
+    events, _ = staged
+    text = plan(dims.dim_time_dedup(events))
+    assert text.count("HashAggregate (") >= 2
+    assert schemas(text) == [{"ts"}]
+
+
+def test_times_need_no_shuffle(staged):
+    events, _ = staged
+    text = plan(dims.dim_time(events))
+    assert "Exchange" not in text and schemas(text) == [{"ts"}]

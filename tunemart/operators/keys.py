@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,9 +42,14 @@ def number_rows(
     written = scratch.materialize(placed, "numbered")
 
     counts = sorted(written.groupBy("_part").count().collect())
-    before = accumulate((n for _, n in counts), initial=start)
+    before = list(accumulate((n for _, n in counts), initial=start))
     offsets = spark.createDataFrame(
-        [(part, offset) for (part, _), offset in zip(counts, before)], "_part int, _offset bigint"
+        pa.table(
+            {
+                "_part": pa.array([part for part, _ in counts], pa.int32()),
+                "_offset": pa.array(before[:-1], pa.int64()),
+            }
+        )
     )
     return written.join(F.broadcast(offsets), "_part").select(
         (F.col("_offset") + F.col("_row")).cast(KEY_TYPE).alias(name), *df.columns

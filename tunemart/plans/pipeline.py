@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,9 +70,19 @@ def insert_tables(
     on_violation: str = "raise",
     ordered_keys: bool = False,
 ) -> None:
-    """Append the star tables from the staging tables; the first error ends the load."""
-    for name, rows in build_star(*staged(spark, database)).items():
-        append(rows, name, database, on_violation, ordered_keys)
+    """Append the star tables from the staging tables.
+
+    The five loads do not depend on each other, so they are submitted together and share
+    the cluster. An error in any of them is raised once all have ended.
+    """
+    star = build_star(*staged(spark, database))
+    with ThreadPoolExecutor(max_workers=len(star)) as pool:
+        loads = [
+            pool.submit(append, rows, name, database, on_violation, ordered_keys)
+            for name, rows in star.items()
+        ]
+    for load in loads:
+        load.result()
 
 
 def run(spark: SparkSession, cfg: LoadConfig) -> None:

@@ -126,19 +126,30 @@ def largest_bucket_share(spark: SparkSession, table: Table, database: str = "def
     return sizes[0] / sizes[1] if sizes[1] else 0.0
 
 
+def _read_buckets(spark: SparkSession, table: Table, database: str) -> DataFrame:
+    return spark.table(full_name(table, database))
+
+
+def _read_files(spark: SparkSession, table: Table, database: str) -> DataFrame:
+    """The same rows without the bucketing, so that one bucket may be read by many tasks."""
+    rows = _read_buckets(spark, table, database)
+    return spark.read.schema(rows.schema).parquet(_details(spark, table, database)["Location"])
+
+
 def join_song_dimension(
     spark: SparkSession, database: str = "default", hot_factor: float = 2.0, hint: str | None = None
 ) -> DataFrame:
     """Plays with title, year and duration of their song.
 
     Both tables are bucketed on the song, so a sort-merge join needs no exchange. That
-    reads a bucket in one task, hence a bucket `hot_factor` times above the even share is
-    read as plain files instead: the plays are shuffled and adaptive execution splits the
-    popular song's partition. `hint` names a join strategy; None leaves it to Spark.
+    reads a bucket in one task, hence if a bucket of plays exceeds the even share
+    `hot_factor` times, both tables are read as plain files instead: they are shuffled,
+    and adaptive execution splits the popular song's partition.
+    `hint` names a join strategy; None leaves it to Spark.
     """
-    fact = spark.table(full_name(FACT_SONGPLAY, database))
-    details = _details(spark, FACT_SONGPLAY, database)
-    if largest_bucket_share(spark, FACT_SONGPLAY, database) > hot_factor / int(details["Num Buckets"]):
-        fact = spark.read.schema(fact.schema).parquet(details["Location"])
-    song = spark.table(full_name(DIM_SONG, database)).drop("artist_id")
-    return fact.join(song.hint(hint) if hint else song, "song_id")
+    buckets = int(_details(spark, FACT_SONGPLAY, database)["Num Buckets"])
+    hot = largest_bucket_share(spark, FACT_SONGPLAY, database) > hot_factor / buckets
+    read = _read_files if hot else _read_buckets
+    plays = read(spark, FACT_SONGPLAY, database)
+    songs = read(spark, DIM_SONG, database).drop("artist_id")
+    return plays.join(songs.hint(hint) if hint else songs, "song_id")

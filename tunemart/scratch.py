@@ -4,14 +4,31 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-_folders: list[tuple[SparkSession, str]] = []
-_databases: list[tuple[SparkSession, str]] = []
+@dataclass(frozen=True)
+class _Item:
+    spark: SparkSession
+    name: str
+    is_database: bool = False
+
+    def remove(self) -> None:
+        if self.is_database:
+            self.spark.sql(f"DROP DATABASE IF EXISTS `{self.name}` CASCADE")
+        else:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.name)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+# Everything handed out, in order; and per thread the part of it that each open scope owns.
+_handed_out: list[_Item] = []
+_scopes = threading.local()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -24,19 +41,24 @@ def shared_root(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
+def _hand_out(item: _Item) -> str:
+    _handed_out.append(item)
+    for owned in getattr(_scopes, "open", [])[-1:]:
+        owned.append(item)
+    return item.name
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path for one intermediate result, removed by `release` or at exit."""
+    """A fresh path for one intermediate result, removed by the scope or at exit."""
     path = f"{shared_root(spark)}/tunemart-{purpose}-{uuid.uuid4().hex}"
-    _folders.append((spark, path))
-    return path
+    return _hand_out(_Item(spark, path))
 
 
 def new_database(spark: SparkSession) -> str:
-    """A fresh database for trial tables, dropped by `release` or at exit."""
+    """A fresh database for trial tables, dropped by the scope or at exit."""
     name = f"tunemart_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE `{name}` LOCATION '{new_folder(spark, 'db')}'")
-    _databases.append((spark, name))
-    return name
+    return _hand_out(_Item(spark, name, is_database=True))
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
@@ -48,25 +70,23 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(databases: int = 0, folders: int = 0) -> None:
-    """Remove what was handed out, but for the first `databases` and `folders` of it."""
-    while len(_databases) > databases:
-        spark, name = _databases.pop()
-        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
-    while len(_folders) > folders:
-        spark, location = _folders.pop()
-        path = spark._jvm.org.apache.hadoop.fs.Path(location)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def release(items: list[_Item] | None = None) -> None:
+    """Remove what was handed out, last first: all of it, or the given items."""
+    for item in reversed(_handed_out[:] if items is None else items):
+        item.remove()
+        _handed_out.remove(item)
 
 
 @contextmanager
 def scope() -> Iterator[None]:
-    """Remove on exit what the block asked for."""
-    databases, folders = len(_databases), len(_folders)
+    """Remove on exit what this thread asked for inside the block."""
+    owned: list[_Item] = []
+    _scopes.open = [*getattr(_scopes, "open", []), owned]
     try:
         yield
     finally:
-        release(databases, folders)
+        _scopes.open = _scopes.open[:-1]
+        release(owned)
 
 
 @atexit.register

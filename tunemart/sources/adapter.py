@@ -14,9 +14,20 @@ from pyspark.sql import functions as F
 ARTISTS = 97
 INT_RANGE = 2**31
 
+# The columns used, declared so that no file has to be opened to plan a query.
+SCHEMAS = {
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+        "value DOUBLE, props STRING"
+    ),
+    "part": "p_partkey BIGINT, p_name STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _padded(prefix: str, number: Column) -> Column:

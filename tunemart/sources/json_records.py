@@ -40,12 +40,8 @@ def _top_level_names(paths: list[str]) -> list[str] | None:
 
 def _texts(spark: SparkSession, location: str | list[str], multiline: bool) -> DataFrame:
     """One record per row, in column `value`."""
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .option("wholetext", multiline)
-        .text(location)
-        .filter(F.trim("value") != "")
-    )
+    texts = spark.read.text(location, wholetext=multiline, recursiveFileLookup=True)
+    return texts.filter(F.trim("value") != "")
 
 
 def _scan_fields(
