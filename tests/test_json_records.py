@@ -95,6 +95,8 @@ def test_many_small_files(spark, tmp_path):
     for i in range(30):
         write_lines(tmp_path, {"song_id": f"S{i}"}, name=f"A/{i % 3}/{i}.json")
     assert read_songs(spark, str(tmp_path)).select("song_id").distinct().count() == 30
+    chosen = [str(tmp_path / "A" / "0" / "0.json"), str(tmp_path / "A" / "1")]
+    assert read_songs(spark, chosen).count() == 11
 
 
 def test_json_names_are_case_sensitive(spark, tmp_path):

@@ -20,9 +20,22 @@ from tunemart import (
     scratch,
     truncate_table,
 )
+from tunemart.__main__ import main
 from tunemart.operators import constraints
-from tunemart.plans.tables import join_song_dimension, largest_bucket_share, next_key
+from tunemart.plans.tables import (
+    bucket_sizes,
+    join_song_dimension,
+    largest_bucket_share,
+    next_key,
+)
 from tunemart.schemas import DIM_SONG, DIM_USER, FACT_SONGPLAY, STAGING, STAR, TABLES
+from tunemart.session import (
+    MAX_BUCKETS,
+    MAX_PARTITIONS,
+    MIN_BUCKETS,
+    bucket_count_for,
+    partitions_for,
+)
 
 SONG = {"song_id": "S1", "title": "Blue", "artist_id": "A1", "year": 2000, "duration": Decimal(1)}
 PLAY = {
@@ -338,3 +351,29 @@ def test_scratch_folders_are_removed(spark, database, tmp_path):
 def test_unknown_setting_is_refused():
     with pytest.raises(ValueError, match="on_violation"):
         LoadConfig("a", "b", on_violation="ignore")
+
+
+def test_command_line(spark, database, tmp_path):
+    ini = write_inputs(tmp_path)
+    main(["create-tables", "--database", database])
+    main(["etl", "--config", ini, "--database", database])
+    assert counts(spark, database) == LOADED
+    main(["run", "--config", ini, "--database", database, "--dedup", "--buckets", "4"])
+    assert counts(spark, database) == {**LOADED, "dimArtist": 1, "dimTime": 12}
+    with pytest.raises(SystemExit):
+        main(["run"])
+
+
+def test_sizes_follow_the_input():
+    terabyte = 1024**4
+    assert bucket_count_for(0) == MIN_BUCKETS and partitions_for(1) == 1
+    assert bucket_count_for(100 * terabyte) == MAX_BUCKETS
+    assert 10_000 < partitions_for(10 * terabyte) < partitions_for(100 * terabyte) == MAX_PARTITIONS
+
+
+def test_share_reads_one_column_and_splits_buckets(spark, database):
+    create_tables(spark, database)
+    append(many_plays(spark, False), "factSongPlay", database)
+    assert 0.125 <= largest_bucket_share(spark, FACT_SONGPLAY, database) < 0.25
+    text = bucket_sizes(spark, FACT_SONGPLAY, database)._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<song_id:string>" in text and "Bucketed: false" in text

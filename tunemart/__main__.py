@@ -17,6 +17,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--buckets", type=int)
     parser.add_argument("--on-bad-record", default="fail", choices=["fail", "quarantine"])
     parser.add_argument("--on-violation", default="raise", choices=["raise", "reject"])
+    parser.add_argument("--dedup", action="store_true", help="one row per artist and per time")
     args = parser.parse_args(argv)
     if args.step != "create-tables" and not args.config:
         parser.error("--config is needed to load data")
@@ -32,12 +33,13 @@ def main(argv: list[str] | None = None) -> None:
         buckets=args.buckets,
         on_bad_record=args.on_bad_record,
         on_violation=args.on_violation,
+        dedup=args.dedup,
     )
     if args.step == "run":
         run(spark, cfg)
     else:
         load_staging(spark, cfg)
-        insert_tables(spark, cfg.database, cfg.on_violation, cfg.ordered_keys)
+        insert_tables(spark, cfg.database, cfg.on_violation, cfg.ordered_keys, cfg.dedup)
 
 
 if __name__ == "__main__":

@@ -17,6 +17,7 @@ class LoadConfig:
     on_bad_record  "fail" | "quarantine": malformed JSON stops the load, or goes to a table
     on_bad_value   "null" | "fail": text that does not fit its column's type
     on_violation   "raise" | "reject": rows that break NOT NULL or a length limit
+    dedup          one row per artist and per time instead of one per song and per event
     ordered_keys   number the plays in a reproducible order (costs one more shuffle)
     """
 
@@ -29,6 +30,7 @@ class LoadConfig:
     on_bad_record: str = "fail"
     on_bad_value: str = "null"
     on_violation: str = "raise"
+    dedup: bool = False
     ordered_keys: bool = False
 
     def __post_init__(self) -> None:

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunemart.config import LoadConfig
-from tunemart.plans.dims import dim_artist, dim_song, dim_time, dim_user
+from tunemart.plans.dims import (
+    dim_artist,
+    dim_artist_dedup,
+    dim_song,
+    dim_time,
+    dim_time_dedup,
+    dim_user,
+)
 from tunemart.plans.fact import song_plays
 from tunemart.plans.tables import (
     append,
@@ -53,12 +60,15 @@ def staged(spark: SparkSession, database: str = "default") -> tuple[DataFrame, D
     )
 
 
-def build_star(events: DataFrame, songs: DataFrame) -> dict[str, DataFrame]:
-    """The five star tables by name; the fact gets its key when it is appended."""
+def build_star(events: DataFrame, songs: DataFrame, dedup: bool = False) -> dict[str, DataFrame]:
+    """The five star tables by name; the fact gets its key when it is appended.
+
+    Artists come once per song and times once per event; `dedup` keeps one of each.
+    """
     return {
-        "dimArtist": dim_artist(songs),
+        "dimArtist": dim_artist_dedup(songs) if dedup else dim_artist(songs),
         "dimSong": dim_song(songs),
-        "dimTime": dim_time(events),
+        "dimTime": dim_time_dedup(events) if dedup else dim_time(events),
         "dimUser": dim_user(events),
         "factSongPlay": song_plays(events, songs),
     }
@@ -69,13 +79,14 @@ def insert_tables(
     database: str = "default",
     on_violation: str = "raise",
     ordered_keys: bool = False,
+    dedup: bool = False,
 ) -> None:
     """Append the star tables from the staging tables.
 
     The five loads do not depend on each other, so they are submitted together and share
     the cluster. An error in any of them is raised once all have ended.
     """
-    star = build_star(*staged(spark, database))
+    star = build_star(*staged(spark, database), dedup)
     with ThreadPoolExecutor(max_workers=len(star)) as pool:
         loads = [
             pool.submit(append, rows, name, database, on_violation, ordered_keys)
@@ -92,4 +103,4 @@ def run(spark: SparkSession, cfg: LoadConfig) -> None:
     drop_tables(spark, cfg.database)
     create_tables(spark, cfg.database, cfg.buckets or bucket_count_for(nbytes))
     load_staging(spark, cfg)
-    insert_tables(spark, cfg.database, cfg.on_violation, cfg.ordered_keys)
+    insert_tables(spark, cfg.database, cfg.on_violation, cfg.ordered_keys, cfg.dedup)

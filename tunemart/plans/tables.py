@@ -113,16 +113,16 @@ def append(
         _placed(rows, table, database).write.insertInto(full_name(table, database))
 
 
-def largest_bucket_share(spark: SparkSession, table: Table, database: str = "default") -> float:
-    """Rows of the fullest bucket over all rows; one column is read."""
+def bucket_sizes(spark: SparkSession, table: Table, database: str = "default") -> DataFrame:
+    """Rows per bucket that is not empty, from a scan of the placement key alone."""
     buckets = int(_details(spark, table, database)["Num Buckets"])
-    sizes = (
-        spark.table(full_name(table, database))
-        .groupBy(F.pmod(F.hash(table.dist), F.lit(buckets)).alias("bucket"))
-        .count()
-        .agg(F.max("count"), F.sum("count"))
-        .first()
-    )
+    bucket = F.pmod(F.hash(table.dist), F.lit(buckets)).alias("bucket")
+    return spark.table(full_name(table, database)).groupBy(bucket).count()
+
+
+def largest_bucket_share(spark: SparkSession, table: Table, database: str = "default") -> float:
+    """Rows of the fullest bucket over all rows."""
+    sizes = bucket_sizes(spark, table, database).agg(F.max("count"), F.sum("count")).first()
     return sizes[0] / sizes[1] if sizes[1] else 0.0
 
 

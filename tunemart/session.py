@@ -16,10 +16,14 @@ SETTINGS = {
     "spark.sql.files.openCostInBytes": str(256 * 1024),
 }
 
-SHUFFLE_BYTES = 128 * 1024 * 1024
-BUCKET_BYTES = 1024 * 1024 * 1024
+# Raw input per shuffle partition and per bucket: the shuffled columns of a log record are
+# a fraction of its JSON text. The upper limits keep block and file lists manageable; at
+# 100 TB of logs a partition then holds a few hundred megabytes.
+INPUT_PER_PARTITION = 512 * 1024**2
+MAX_PARTITIONS = 50_000
+INPUT_PER_BUCKET = 4 * 1024**3
 MIN_BUCKETS = 8
-MAX_BUCKETS = 50_000
+MAX_BUCKETS = 16_384
 
 
 def build_session(app_name: str = "tunemart", master: str | None = None, **conf) -> SparkSession:
@@ -37,18 +41,21 @@ def source_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def size_shuffle(spark: SparkSession, nbytes: int) -> int:
-    """Raise the number of shuffle partitions so that one holds about SHUFFLE_BYTES.
+def partitions_for(nbytes: int) -> int:
+    """Shuffle partitions for a load of `nbytes` of raw input."""
+    return min(MAX_PARTITIONS, ceil(nbytes / INPUT_PER_PARTITION))
 
-    Adaptive execution merges what turns out too small, so only growing it is needed.
+
+def size_shuffle(spark: SparkSession, nbytes: int) -> None:
+    """Raise the session's shuffle partitions to what the input needs.
+
+    Adaptive execution merges what turns out too small, so they are never lowered.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, ceil(nbytes / SHUFFLE_BYTES))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    if partitions_for(nbytes) > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions_for(nbytes)))
 
 
 def bucket_count_for(nbytes: int) -> int:
-    """Buckets of about BUCKET_BYTES each for a table made from `nbytes` of input."""
-    return min(MAX_BUCKETS, max(MIN_BUCKETS, ceil(nbytes / BUCKET_BYTES)))
+    """Buckets of the placed tables for a load of `nbytes` of raw input."""
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, ceil(nbytes / INPUT_PER_BUCKET)))
