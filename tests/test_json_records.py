@@ -164,6 +164,51 @@ def test_bad_record_quarantined(spark, tmp_path, paths):
     assert [r.record for r in bad.collect()] == ["{bad"]
 
 
+# Lines that are not one whole JSON object.
+NOT_A_RECORD = [
+    "{bad",
+    '{"userId": 1',
+    '{"userId": 1} more',
+    '{"userId": 1}{"userId": 2}',
+    "5",
+    '"text"',
+    "null",
+    "true",
+]
+
+
+@pytest.mark.parametrize("paths", [None, nested_paths(auth="$.deep.auth")])
+def test_lines_that_are_no_record(spark, tmp_path, paths):
+    folder = write_lines(tmp_path / "all", EVENT, *NOT_A_RECORD)
+    rows = read_events(spark, folder, paths=paths, on_bad_record="quarantine")
+    good, bad = split_bad_records(rows)
+    assert [r.userId for r in good.collect()] == [39]
+    assert sorted(r.record for r in bad.collect()) == sorted(NOT_A_RECORD)
+    for i, line in enumerate(NOT_A_RECORD):
+        folder = write_lines(tmp_path / str(i), EVENT, line)
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            read_events(spark, folder, paths=paths).collect()
+
+
+def test_blanks_around_records(spark, tmp_path):
+    folder = write_lines(tmp_path, '\ufeff{"userId": 1}', '\t {"userId": 2} \r', "\t", "")
+    assert sorted(r.userId for r in read_events(spark, folder).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("mode", ["fail", "quarantine"])
+def test_list_of_records(spark, tmp_path, mode):
+    folder = write_lines(tmp_path, '[{"song_id": "S1"}, {"song_id": "S2"}]')
+    rows = read_songs(spark, folder, on_bad_record=mode).collect()
+    assert sorted(r.song_id for r in rows) == ["S1", "S2"]
+
+
+def test_record_that_is_a_list(spark, tmp_path):
+    folder = write_lines(tmp_path, '["Ann", "Home", 7]')
+    paths = nested_paths(artist="$[0]", page="$[1]", userId="$[2]")
+    row = read_events(spark, folder, paths=paths).first()
+    assert (row.artist, row.page, row.userId, row.song) == ("Ann", "Home", 7, None)
+
+
 def test_bad_value_is_null_or_fails(spark, tmp_path):
     folder = write_lines(tmp_path, {"userId": "abc", "status": 200})
     assert read_events(spark, folder).first().userId is None

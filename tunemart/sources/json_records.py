@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,9 @@ from tunemart.schemas import STAGING_EVENTS, STAGING_SONGS, Table
 
 CORRUPT = "_corrupt_record"
 
+# What may surround a record: white space, and the mark that starts some UTF-8 files.
+BLANKS = " \t\r\n\ufeff"
+
 _TOP_LEVEL = re.compile(r"\$(?:\.(\w+)|\['([^']+)'\]|\[\"([^\"]+)\"\])")
 
 
@@ -38,46 +41,50 @@ def _top_level_names(paths: list[str]) -> list[str] | None:
     return names if len({n.lower() for n in names}) == len(set(names)) else None
 
 
-def _texts(spark: SparkSession, location: str | list[str], multiline: bool) -> DataFrame:
-    """One record per row, in column `value`."""
+def _texts(
+    spark: SparkSession, location: str | list[str], multiline: bool, quarantine: bool, arrays: str
+) -> DataFrame:
+    """Columns `value`, one record as it stands in the file, and `list`, the same as a list.
+
+    A JSON parser stops at the end of the first value. Inside a list it has to read on, so
+    that text after a record, such as a second record, is noticed and not lost. `arrays`
+    tells what a record in brackets is: "records" (a list already) or "record" (one value).
+    """
+    value = F.col("value")
+    wrapped = F.concat(F.lit("["), value, F.lit("]"))
+    as_list = F.when(value.startswith("{"), wrapped).when(
+        value.startswith("["), wrapped if arrays == "record" else value
+    )
+    if not quarantine:
+        message = F.concat(F.lit("MALFORMED_RECORD: "), F.substring(value, 1, 200))
+        as_list = as_list.otherwise(F.raise_error(message))
     texts = spark.read.text(location, wholetext=multiline, recursiveFileLookup=True)
-    return texts.filter(F.trim("value") != "")
+    trimmed = texts.select(F.trim("value", F.lit(BLANKS)).alias("value"))
+    return trimmed.filter(value != "").select("value", as_list.alias("list"))
 
 
-def _scan_fields(
-    spark: SparkSession, location: str | list[str], names: list[str], quarantine: bool, multiline: bool
-) -> DataFrame:
-    """Named top-level fields as text: one parse per record, other fields are skipped."""
+def _by_name(texts: DataFrame, names: list[str], quarantine: bool) -> tuple[DataFrame, list[Column]]:
+    """Top-level fields as text, other fields skipped."""
     fields = [T.StructField(n, T.StringType()) for n in dict.fromkeys(names)]
-    if not quarantine:
-        return (
-            spark.read.schema(T.StructType(fields))
-            .option("recursiveFileLookup", True)
-            .option("multiLine", multiline)
-            .option("mode", "FAILFAST")
-            .json(location)
-        )
-    schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    record = F.from_json("value", schema, options)
-    return _texts(spark, location, multiline).select(record.alias("record")).select("record.*")
-
-
-def _scan_paths(
-    spark: SparkSession,
-    location: str | list[str],
-    paths: list[str],
-    columns: list[str],
-    quarantine: bool,
-    multiline: bool,
-) -> DataFrame:
-    """Any paths: parse each record once to a variant, then pick the values as text."""
+    mode = {"mode": "PERMISSIVE" if quarantine else "FAILFAST"}
+    parsed = texts.select(
+        "value", F.from_json("list", T.ArrayType(T.StructType(fields)), mode).alias("records")
+    )
+    rows = parsed.select(
+        F.when(F.col("records").isNull(), F.col("value")).alias(CORRUPT), F.inline_outer("records")
+    )
+    return rows, [F.col(f"`{n}`") for n in names]
+
+
+def _by_path(texts: DataFrame, paths: list[str], quarantine: bool) -> tuple[DataFrame, list[Column]]:
+    """Values at any paths as text."""
     parse = F.try_parse_json if quarantine else F.parse_json
-    parsed = _texts(spark, location, multiline).withColumn("record", parse("value"))
-    picked = [F.try_variant_get("record", p, "string").alias(c) for p, c in zip(paths, columns)]
-    if quarantine:
-        picked.append(F.when(F.col("record").isNull(), F.col("value")).alias(CORRUPT))
-    return parsed.select(*picked)
+    parsed = texts.select("value", parse("list").alias("records"))
+    rows = parsed.select(
+        F.when(F.col("records").isNull(), F.col("value")).alias(CORRUPT),
+        F.explode_outer(F.try_variant_get("records", "$", "array<variant>")).alias("record"),
+    )
+    return rows, [F.try_variant_get("record", p, "string") for p in paths]
 
 
 def read_records(
@@ -99,15 +106,16 @@ def read_records(
     if len(paths) != len(table.columns):
         raise ValueError(f"{table.name} has {len(table.columns)} columns, got {len(paths)} paths")
     quarantine = on_bad_record == "quarantine"
-    columns = table.column_names
     names = _top_level_names(paths)
-    if names is None:
-        texts = _scan_paths(spark, location, paths, columns, quarantine, multiline)
-    else:
-        raw = _scan_fields(spark, location, names, quarantine, multiline)
-        picked = [F.col(f"`{n}`").alias(c) for n, c in zip(names, columns)]
-        texts = raw.select(*picked, *([CORRUPT] if quarantine else []))
-    return coerce(texts, table, strict=on_bad_value == "fail", keep=(CORRUPT,) if quarantine else ())
+    arrays = "record" if names is None else "records"
+    texts = _texts(spark, location, multiline, quarantine, arrays)
+    # Either way a record is parsed once, whatever the number of columns.
+    rows, values = (
+        _by_path(texts, paths, quarantine) if names is None else _by_name(texts, names, quarantine)
+    )
+    keep = (CORRUPT,) if quarantine else ()
+    picked = rows.select(*[v.alias(c) for v, c in zip(values, table.column_names)], *keep)
+    return coerce(picked, table, strict=on_bad_value == "fail", keep=keep)
 
 
 def split_bad_records(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
