@@ -368,7 +368,8 @@ def test_sizes_follow_the_input():
     terabyte = 1024**4
     assert bucket_count_for(0) == MIN_BUCKETS and partitions_for(1) == 1
     assert bucket_count_for(100 * terabyte) == MAX_BUCKETS
-    assert 10_000 < partitions_for(10 * terabyte) < partitions_for(100 * terabyte) == MAX_PARTITIONS
+    assert partitions_for(terabyte) == 2048
+    assert partitions_for(100 * terabyte) == MAX_PARTITIONS
 
 
 def test_share_reads_one_column_and_splits_buckets(spark, database):

@@ -39,6 +39,7 @@ def create_tables(
     spark: SparkSession, database: str = "default", buckets: int = MIN_BUCKETS
 ) -> None:
     """Create the seven tables where missing; an existing table stays as it is."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for table in STAGING + STAR:
         spark.sql(create_statement(table, database, buckets))
 

@@ -91,7 +91,8 @@ def scope() -> Iterator[None]:
 
 @atexit.register
 def _release_at_exit() -> None:
-    try:
-        release()
-    except Exception:  # the session may be gone already
-        pass
+    for item in reversed(_handed_out[:]):
+        try:
+            release([item])
+        except Exception:  # its session may be gone already
+            pass

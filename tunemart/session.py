@@ -20,10 +20,10 @@ SETTINGS = {
 # a fraction of its JSON text. The upper limits keep block and file lists manageable; at
 # 100 TB of logs a partition then holds a few hundred megabytes.
 INPUT_PER_PARTITION = 512 * 1024**2
-MAX_PARTITIONS = 50_000
+MAX_PARTITIONS = 20_000
 INPUT_PER_BUCKET = 4 * 1024**3
 MIN_BUCKETS = 8
-MAX_BUCKETS = 16_384
+MAX_BUCKETS = 8_192
 
 
 def build_session(app_name: str = "tunemart", master: str | None = None, **conf) -> SparkSession:
