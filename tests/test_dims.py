@@ -92,7 +92,7 @@ def brute_force_ranks(rows):
     )
 
 
-@pytest.mark.parametrize("group_rows", [10**6, 10])
+@pytest.mark.parametrize("group_rows", [10**6, 300, 185, 10])
 def test_ranks_equal_brute_force(spark, group_rows):
     """A third of the rows share one id and half of these are equal, NULLs included."""
     rng = random.Random(7)

@@ -27,15 +27,31 @@ def rank_within(
 ) -> DataFrame:
     """All rows with their position within the key, ordered by `order`, NULLs last.
 
-    Every row survives, so a window has to bring a whole key into one task. The largest key
-    is measured first; if it is too large, positions come from a range sort in which a key
-    may spread over many tasks.
+    Every row survives, so a window has to bring a whole key into one task. Keys with more
+    than `group_rows` rows are found first; theirs are ranked through a range sort in which
+    a key may spread over many tasks.
     """
+    sizes = df.groupBy(key).count()
+    # Each of these keys stands for more than `group_rows` rows, so they are few.
+    frequent = sizes.filter(F.col("count") > group_rows).select(key).collect()
+    if not frequent:
+        return _rank_by_window(df, key, order, rank)
+
+    spark = df.sparkSession
+    keys = F.broadcast(spark.createDataFrame(frequent, df.select(key).schema).toDF("_key"))
+    is_frequent = F.col(key).eqNullSafe(F.col("_key"))
+    others = _rank_by_window(df.join(keys, is_frequent, "left_anti"), key, order, rank)
+    spread = _rank_by_range(df.join(keys, is_frequent, "left_semi"), key, order, rank)
+    return others.unionByName(spread)
+
+
+def _rank_by_window(df: DataFrame, key: str, order: list[str], rank: str) -> DataFrame:
     ordering = [F.col(c).asc_nulls_last() for c in order]
-    largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if largest <= group_rows:
-        return df.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(*ordering)))
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(*ordering)))
+
 
+def _rank_by_range(df: DataFrame, key: str, order: list[str], rank: str) -> DataFrame:
+    """Position in the sorted whole, less the position where the key starts."""
     # Equal rows get a number of their own, written down, so that they can spread too.
     copies = materialize(df.withColumn("_copy", F.monotonically_increasing_id()), "copies")
     numbered = number_rows(copies, "_pos", order=[key, *order, "_copy"])
