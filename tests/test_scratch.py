@@ -1,0 +1,50 @@
+"""Where intermediate results go, and that they are removed."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+from types import SimpleNamespace
+
+import pytest
+
+from tunemart import scratch
+
+
+def session(master, **conf):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=conf.get), sparkContext=SimpleNamespace(master=master)
+    )
+
+
+def test_folder_of_the_session_is_used():
+    cluster = session("yarn", **{"spark.checkpoint.dir": "hdfs://name/ckpt/"})
+    assert scratch.shared_root(cluster) == "hdfs://name/ckpt"
+
+
+def test_temporary_folder_only_in_local_mode():
+    assert scratch.shared_root(session("local[4]")) == tempfile.gettempdir()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_root(session("spark://host:7077"))
+
+
+def test_scope_removes_only_its_own(spark):
+    with scratch.scope():
+        outer = scratch.materialize(spark.range(3), "outer")
+        with scratch.scope():
+            inner = scratch.materialize(spark.range(5), "inner")
+            folder = os.path.dirname(inner.inputFiles()[0].removeprefix("file://"))
+            assert os.path.isdir(folder)
+            name = scratch.new_database(spark)
+            assert spark.catalog.databaseExists(name)
+        assert not os.path.exists(folder)
+        assert not spark.catalog.databaseExists(name)
+        assert outer.count() == 3
+
+
+def test_scope_removes_after_an_error(spark):
+    before = list(scratch._handed_out)
+    with pytest.raises(ZeroDivisionError), scratch.scope():
+        scratch.new_folder(spark, "x")
+        raise ZeroDivisionError
+    assert scratch._handed_out == before
