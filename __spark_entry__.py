@@ -21,6 +21,14 @@ from tunemart.schemas import DIM_ARTIST, DIM_SONG, DIM_TIME, DIM_USER, FACT_SONG
 from tunemart.sources.adapter import staging_events, staging_songs
 from tunemart.sources.json_records import read_events, read_songs
 
+try:
+    from tunemart.llm.queries import ORACLE_SQL as LLM_SQL
+    from tunemart.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:  # the subpackage may be left out
+    if not (missing.name or "").startswith(("tunemart.llm", "corpus_pipeline")):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -241,8 +249,9 @@ def queries() -> dict[str, Query]:
         "truncate_reload": truncate_reload,
         "bucketed_star_join": bucketed_star_join,
         "star_adhoc": star_adhoc,
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_texts.oracle_sql()
+    return oracle_texts.oracle_sql() | LLM_SQL
