@@ -34,7 +34,10 @@ _SPACE, _REST, _MARK = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]", r"[!-/:-@\[-`{-~]"
 WORDS = rf"{_SPACE}*[A-Za-zÀ-ÖØ-öø-ɏ]+(?={_MARK})|{_SPACE}*{_REST}+|{_SPACE}+"
 
 # Different words of which a worker remembers the ids, before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+
+# Text that is cut into words at a time: each word of it is an object for a while.
+WORD_BYTES = 2 * 1024**2
 
 ADDED = T.StructType(
     [
@@ -65,6 +68,12 @@ def read_ranks(document: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
+def spell(document: bytes) -> dict[str, int]:
+    """The vocabulary as the library takes it: a character for each byte."""
+    chars = byte_characters()
+    return {"".join(chars[b] for b in token): rank for token, rank in read_ranks(document).items()}
+
+
 @lru_cache(maxsize=4)
 def tokenizer(document: bytes, pattern: str):
     """A tokenizer that merges by rank inside each match of `pattern`.
@@ -75,7 +84,8 @@ def tokenizer(document: bytes, pattern: str):
     from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    ranks, chars = read_ranks(document), byte_characters()
+    ranks, vocabulary = read_ranks(document), spell(document)
+    chars = byte_characters()
     spelled = {token: "".join(chars[b] for b in token) for token in ranks}
     merges = [
         (spelled[token[:i]], spelled[token[i:]])
@@ -83,7 +93,6 @@ def tokenizer(document: bytes, pattern: str):
         for i in range(1, len(token))
         if token[:i] in ranks and token[i:] in ranks
     ]
-    vocabulary = {spelled[token]: rank for token, rank in ranks.items()}
     # No cache of words in the library: `Words` has them.
     made = Tokenizer(models.BPE(vocabulary, merges, ignore_merges=True, cache_capacity=0))
     made.pre_tokenizer = pre_tokenizers.Sequence(
@@ -96,10 +105,10 @@ def tokenizer(document: bytes, pattern: str):
 
 
 @lru_cache(maxsize=4)
-def token_bytes(document: bytes, pattern: str) -> list[bytes]:
-    """Bytes of each id, by reversing the byte table on the tokenizer's vocabulary."""
+def token_bytes(document: bytes) -> list[bytes]:
+    """Bytes of each id, by reversing the byte table on the vocabulary."""
     byte_of = {c: b for b, c in enumerate(byte_characters())}
-    vocabulary = tokenizer(document, pattern).get_vocab()
+    vocabulary = spell(document)
     found = [b""] * (max(vocabulary.values(), default=-1) + 1)
     for spelled, rank in vocabulary.items():
         found[rank] = bytes(byte_of[c] for c in spelled)
@@ -114,9 +123,10 @@ class Words(dict):
 
     def learn(self, words) -> None:
         words = {*words}
-        if len(words | self.keys()) > REMEMBERED:
-            self.clear()
         new = list(words - self.keys())
+        if len(new) + len(self) > REMEMBERED:
+            self.clear()
+            new = list(words)
         for k in range(0, len(new), 10_000):
             part = new[k : k + 10_000]
             encode_all = self.made.encode_batch if self.offsets else self.made.encode_batch_fast
@@ -197,9 +207,9 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = worker_words(shared.value, pattern, offsets)
-        sizes = np.array([len(b) for b in token_bytes(shared.value, pattern)]) if offsets else None
+        sizes = np.array([len(b) for b in token_bytes(shared.value)]) if offsets else None
         cut = re.compile(words).findall
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", WORD_BYTES):
             cuts = [cut(t or "") for t in batch.column("_text").to_pylist()]
             known.learn(chain.from_iterable(cuts))
             if offsets:
@@ -224,7 +234,7 @@ def encode(
 
 
 def decode(
-    df: DataFrame, document: bytes, pattern: str, ids: str = "ids", decoded: str = "decoded"
+    df: DataFrame, document: bytes, ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:
     """All columns and the bytes that packed ids stand for; NULL ids count as none."""
     _check_names(df.columns, T.StructType([T.StructField(decoded, T.BinaryType())]))
@@ -232,7 +242,7 @@ def decode(
     names = [*df.columns, decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(shared.value, pattern)
+        table = token_bytes(shared.value)
         for batch in slices(batches, ids):
             packed = batch.column(ids).to_pylist()
             texts = pa.array([decode_ids(unpack(p or b"").tolist(), table) for p in packed], pa.binary())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +22,15 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a slice holds about SLICE_BYTES of `column`, and one row at least."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, n_bytes: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a slice holds about `n_bytes` of `column`, and one row at least."""
     for batch in batches:
         start, held = 0, 0
-        lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).to_pylist()
         for row, length in enumerate(lengths):
-            if held and held + (length or 0) > SLICE_BYTES:
+            if held and held + (length or 0) > n_bytes:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += length or 0

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tunemart.llm import bpe, simhash
-from tunemart.llm.common import table
+from tunemart import scratch
+from tunemart.llm import bpe, langid, sharding, simhash, token_counts, warc
+from tunemart.llm.common import fold, table, text_key
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+SHARD_BYTES = 1024**2
 
 
 def vocabulary(path: str) -> bytes:
@@ -21,7 +23,7 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     document = vocabulary(public_tokenizers.path(VOCABULARY))
     encoded = bpe.encode(table(spark, sf_dir, "documents"), document, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, document, public_tokenizers.PATTERN)
+    decoded = bpe.decode(encoded, document)
     return decoded.select(
         "doc_id",
         "n_tokens",
@@ -30,6 +32,27 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as deduplicated archives, read back."""
+    found = warc.deduplicate(table(spark, sf_dir, "pages"), min_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document: 1 MiB of text at most, but for a longer single text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"))
+    return sharding.shard(docs, "doc_id", F.col("n_bytes"), SHARD_BYTES)
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = langid.train(docs, fold(F.col("doc_id"), 4) != 2)
+    found = langid.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document, and its component of those within two bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
@@ -38,8 +61,111 @@ def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after three batches of changes, two of them delivered twice.
+
+    All documents come in, counted by the first tokenizer version; then all are counted by the
+    second one as well and what the first one counted in them is revised to leave out tokens
+    without a letter or digit; then copies go, of either version.
+    """
+    docs = table(spark, sf_dir, "documents")
+    first, second = token_counts.words(F.col("text")), token_counts.words_and_marks(F.col("text"))
+    plain = F.regexp_replace("text", r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]", "")
+    counted = scratch.materialize(
+        docs.select(
+            "doc_id",
+            "source",
+            "lang",
+            text_key(F.col("text")).alias("text_key"),
+            first.alias("first"),
+            token_counts.words(plain).alias("revised"),
+            second.alias("second"),
+        ),
+        "counted",
+    )
+    originals = counted.groupBy("text_key").agg(F.min("doc_id").alias("kept_id"))
+    copies = counted.join(originals, "text_key").filter("doc_id <> kept_id")
+
+    def changes(rows: DataFrame, tokenizer: str, change: str, n: str, old: str | None = None) -> DataFrame:
+        return rows.select(
+            "source",
+            "lang",
+            F.lit(tokenizer).alias("tokenizer"),
+            F.lit(change).alias("change"),
+            F.col(n).alias("n_tokens"),
+            (F.col(old) if old else F.lit(None).cast("long")).alias("old_n_tokens"),
+        )
+
+    rollup = token_counts.Rollup(spark, scratch.new_folder(spark, "totals"))
+    arrive = changes(counted, "words-1", "insert", "first")
+    revise = changes(counted, "words-1", "revise", "revised", "first").union(
+        changes(counted, "words-2", "insert", "second")
+    )
+    leave = changes(copies, "words-1", "delete", "revised").union(changes(copies, "words-2", "delete", "second"))
+    for batch, rows in (("1", arrive), ("2", revise), ("2", revise), ("3", leave), ("1", arrive)):
+        rollup.commit(batch, rows)
+    return rollup.totals()
+
+
 QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_warc_revisits": op3_warc_revisits,
+    "op4_extendible_sharding": op4_extendible_sharding,
+    "op5_language": op5_language,
     "op6_simhash_golay": op6_simhash_golay,
+    "op7_token_totals": op7_token_totals,
+}
+# Base 32 of a SHA-1: five hexadecimal digits are twenty bits, or four characters.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+OP3_SQL = f"""
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id, url, h, cast(strlen(payload) AS bigint) AS payload_bytes,
+    min(page_id) OVER (PARTITION BY h) AS first_id FROM p
+), b AS (
+  SELECT *, array_to_string(list_transform(range(32), lambda i: substr('{_BASE32}', cast(1 +
+    ((cast(concat('0x', substr(h, cast(i // 4 * 5 + 1 AS int), 5)) AS bigint) >> cast(15 - i % 4 * 5 AS bigint)) & 31) AS int), 1)), '')
+    AS payload_digest FROM d
+)
+SELECT page_id, payload_bytes, payload_digest, url,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM b
+"""
+
+OP4_SQL = f"""
+WITH k AS (
+  SELECT doc_id, cast(strlen(text) AS bigint) AS n_bytes,
+    lpad(bin(cast(concat('0x', substr(md5(cast(doc_id AS varchar)), 1, 15)) AS bigint)), 60, '0') AS bits
+  FROM documents
+), cells AS (
+  SELECT d, substr(bits, 1, d) AS shard, sum(n_bytes) AS shard_bytes, count(*) AS n
+  FROM k, (SELECT cast(unnest(range(0, 41)) AS int) AS d) GROUP BY ALL
+), fit AS (
+  SELECT doc_id, n_bytes, shard, d, shard_bytes,
+    row_number() OVER (PARTITION BY doc_id ORDER BY d) AS r
+  FROM k JOIN cells ON substr(bits, 1, d) = shard WHERE shard_bytes <= {SHARD_BYTES} OR n = 1
+)
+SELECT doc_id, n_bytes, shard, d AS depth, cast(shard_bytes AS bigint) AS shard_bytes,
+  shard_bytes > {SHARD_BYTES} AS oversized FROM fit WHERE r = 1
+"""
+
+_MARKS = r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]"
+OP7_SQL = rf"""
+WITH k AS (
+  SELECT source, lang, doc_id = min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
+    len(regexp_extract_all(regexp_replace(text, '{_MARKS}', '', 'g'), '[^\x20\x09-\x0D]+')) AS one,
+    len(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|{_MARKS}')) AS two
+  FROM documents
+)
+SELECT source, lang, 'words-1' AS tokenizer, count(*) AS n_docs, cast(sum(one) AS bigint) AS n_tokens
+FROM k WHERE kept GROUP BY ALL
+UNION ALL
+SELECT source, lang, 'words-2', count(*), cast(sum(two) AS bigint) FROM k WHERE kept GROUP BY ALL
+"""
+
+ORACLE_SQL = {
+    "op3_warc_revisits": OP3_SQL,
+    "op4_extendible_sharding": OP4_SQL,
+    "op7_token_totals": OP7_SQL,
 }
-ORACLE_SQL = {}
