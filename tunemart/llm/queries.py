@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from tunemart import scratch
-from tunemart.llm import bpe, langid, sharding, simhash, token_counts, warc
+from tunemart.llm import bpe, decontaminate, langid, sharding, simhash, substring_dedup, token_counts, warc
 from tunemart.llm.common import fold, table, text_key
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -19,6 +19,12 @@ def vocabulary(path: str) -> bytes:
         return f.read()
 
 
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of documents that stand in a document before, too."""
+    found = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.drop("text_mark")
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     document = vocabulary(public_tokenizers.path(VOCABULARY))
@@ -107,13 +113,20 @@ def op7_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_repeated_passages": op1_repeated_passages,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_extendible_sharding": op4_extendible_sharding,
     "op5_language": op5_language,
     "op6_simhash_golay": op6_simhash_golay,
     "op7_token_totals": op7_token_totals,
+    "op9_template_leaks": op9_template_leaks,
 }
 # Base 32 of a SHA-1: five hexadecimal digits are twenty bits, or four characters.
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
