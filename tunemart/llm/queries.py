@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from tunemart import scratch
-from tunemart.llm import bpe, decontaminate, langid, sharding, simhash, substring_dedup, token_counts, warc
+from tunemart.llm import bpe, covertree, decontaminate, langid, sharding, simhash, substring_dedup, token_counts, warc
 from tunemart.llm.common import fold, table, text_key
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -118,6 +118,11 @@ def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_cover_tree_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings with cosine 0.95 or more."""
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 QUERIES = {
     "op1_repeated_passages": op1_repeated_passages,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -127,6 +132,7 @@ QUERIES = {
     "op6_simhash_golay": op6_simhash_golay,
     "op7_token_totals": op7_token_totals,
     "op9_template_leaks": op9_template_leaks,
+    "op10_cover_tree_pairs": op10_cover_tree_pairs,
 }
 # Base 32 of a SHA-1: five hexadecimal digits are twenty bits, or four characters.
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -177,7 +183,25 @@ UNION ALL
 SELECT source, lang, 'words-2', count(*), cast(sum(two) AS bigint) FROM k WHERE kept GROUP BY ALL
 """
 
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, cast(embedding AS double[]) AS e,
+    embedding IS NOT NULL AND len(embedding) > 0
+      AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+      AND list_bool_or(list_transform(embedding, lambda x: coalesce(x <> 0, false))) AS usable
+  FROM embeddings
+), u AS (SELECT vec_id, e FROM v WHERE usable),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM parts LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+"""
+
 ORACLE_SQL = {
+    "op10_cover_tree_pairs": OP10_SQL,
     "op3_warc_revisits": OP3_SQL,
     "op4_extendible_sharding": OP4_SQL,
     "op7_token_totals": OP7_SQL,
