@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from tunemart import scratch
-from tunemart.llm import bpe, covertree, decontaminate, langid, sharding, simhash, substring_dedup, token_counts, warc
+from tunemart.llm import bpe, covertree, decontaminate, katz, langid, sharding, simhash, substring_dedup, token_counts, warc
 from tunemart.llm.common import fold, table, text_key
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -113,6 +113,15 @@ def op7_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learned from nine of ten folds."""
+    found = katz.scores(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 10) != 0)
+    held_out = F.coalesce(fold(F.col("doc_id"), 10) == 0, F.lit(False)).alias("held_out")
+    return found.select(
+        "doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item."""
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -131,6 +140,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_simhash_golay": op6_simhash_golay,
     "op7_token_totals": op7_token_totals,
+    "op8_katz_scores": op8_katz_scores,
     "op9_template_leaks": op9_template_leaks,
     "op10_cover_tree_pairs": op10_cover_tree_pairs,
 }
