@@ -1,0 +1,97 @@
+"""Byte-level BPE against the tiktoken library."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import public_tokenizers as public
+import pytest
+import tiktoken
+from conftest import SF_DIR
+
+from tunemart.llm import bpe, queries
+
+RANKS = queries.vocabulary(public.path("byte_bpe_50k.tiktoken"))
+TIKTOKEN = tiktoken.Encoding(
+    "own", pat_str=public.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={}
+)
+
+
+def strange_texts(n=300):
+    rng = random.Random(5)
+    spaces = [9, 10, 13, 32, 0x85, 0xA0, 0x2028, 0x3000, 0x1C, 0x1F]
+    kinds = [lambda: rng.randrange(32, 127), lambda: rng.randrange(0xC0, 0x250), lambda: rng.choice(spaces)]
+    kinds += [lambda: rng.randrange(0x20, 0xD000), lambda: rng.randrange(0xE000, 0x110000), lambda: 39]
+    return ["".join(chr(rng.choice(kinds)()) for _ in range(rng.randrange(60))) for _ in range(n)]
+
+
+CASES = ["", None, " ", "\n\n  a", "don't  stop", "<|endoftext|>", "a" * 20_000, "é" * 300, "𝔘" * 50, "\x00"]
+
+
+def test_ids_offsets_and_bytes(spark):
+    texts = CASES + strange_texts() + ["twice", "twice"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    encoded = bpe.encode(df, RANKS, public.PATTERN, offsets=True)
+    rows = {r.doc_id: r for r in bpe.decode(encoded, RANKS).collect()}
+    assert len(rows) == len(texts)
+    for k, text in enumerate(texts):
+        text, r = text or "", rows[k]
+        ids = bpe.unpack(r.ids).tolist()
+        assert ids == TIKTOKEN.encode_ordinary(text)
+        assert r.n_tokens == len(ids)
+        assert bytes(r.decoded) == text.encode()
+        starts, ends, places = (bpe.unpack(r[c]).tolist() for c in ("char_starts", "char_ends", "byte_starts"))
+        at = 0
+        for i, a, b, p in zip(ids, starts, ends, places):
+            token = TIKTOKEN.decode_single_token_bytes(i)
+            assert p == at and token in text[a:b].encode()
+            at += len(token)
+
+
+def test_other_vocabulary(spark):
+    ranks = queries.vocabulary(public.path("byte_bpe_multi_50k.tiktoken"))
+    other = tiktoken.Encoding("o", pat_str=public.PATTERN, mergeable_ranks=bpe.read_ranks(ranks), special_tokens={})
+    texts = strange_texts(100)
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    for r in bpe.encode(df, ranks, public.PATTERN).collect():
+        assert bpe.unpack(r.ids).tolist() == other.encode_ordinary(texts[r.doc_id])
+
+
+def test_pieces_hold_back_split_characters():
+    table = bpe.token_bytes(RANKS)
+    text = "naïve 𝔘𝔫𝔦 ☃"
+    ids = TIKTOKEN.encode_ordinary(text)
+    assert "".join(bpe.decode_pieces([[i] for i in ids], table)) == text
+    first = next(i for i in range(1, len(ids)) if b"".join(map(TIKTOKEN.decode_single_token_bytes, ids[:i])).decode("utf-8", "ignore") != TIKTOKEN.decode(ids[:i]))
+    cut = list(bpe.decode_pieces([ids[:first]], table))
+    assert cut[-1] == "�"
+    with pytest.raises(IndexError):
+        bpe.decode_ids([10**6], table)
+
+
+def test_small_memory(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    known = bpe.Words(bpe.tokenizer(RANKS, public.PATTERN), False)
+    for k in range(5):
+        known.learn([f" word{k}{j}" for j in range(8)] + [" the"])
+        assert bpe.unpack(known[" the"]).tolist() == TIKTOKEN.encode_ordinary(" the")
+        assert len(known) <= 10
+
+
+def test_empty_table_and_clashing_names(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, ids int, decoded int")
+    assert bpe.decode(bpe.encode(empty, RANKS, public.PATTERN), RANKS).count() == 0
+    with pytest.raises(ValueError):
+        bpe.encode(empty, RANKS, public.PATTERN, keep=("ids",))
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = queries.op2_bpe_round_trip(spark, SF_DIR).collect()
+    assert len(rows) == len(texts)
+    for r in rows[:200]:
+        ids = TIKTOKEN.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(bpe.pack(ids)).hexdigest())
+    for r in rows:
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()

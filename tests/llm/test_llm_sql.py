@@ -1,0 +1,16 @@
+"""Queries of the subpackage that SQL can express, at sf0.01."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF_DIR
+from oracle import connect, duckdb_rows, spark_rows
+
+from tunemart import scratch
+from tunemart.llm.queries import ORACLE_SQL, QUERIES
+
+
+@pytest.mark.parametrize("name", ORACLE_SQL)
+def test_query_equals_sql(spark, name):
+    with scratch.scope():
+        assert spark_rows(QUERIES[name](spark, SF_DIR)) == duckdb_rows(connect(SF_DIR), ORACLE_SQL[name])

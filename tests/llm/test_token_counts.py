@@ -1,0 +1,75 @@
+"""Token totals: additive, signed, and each batch once."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunemart import scratch
+from tunemart.llm import token_counts
+from tunemart.llm.token_counts import Rollup
+
+SCHEMA = "source string, lang string, tokenizer string, change string, n_tokens long, old_n_tokens long, extra int"
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+
+
+def totals(rollup):
+    return {tuple(r)[:3]: tuple(r)[3:] for r in rollup.totals().collect()}
+
+
+def test_signed_changes_and_repeated_batches(spark):
+    rollup = Rollup(spark, scratch.new_folder(spark, "totals"))
+    assert totals(rollup) == {}
+    first = batch(
+        spark,
+        ("a", "en", "v1", "insert", 10, None),
+        ("a", "en", "v1", "insert", 5, None),
+        ("a", None, "v1", "insert", None, None),
+        ("b", "de", "v1", "insert", 7, None),
+    )
+    assert rollup.commit("1", first)
+    assert not rollup.commit("1", first)
+    second = batch(
+        spark,
+        ("a", "en", "v1", "revise", 8, 10),
+        ("b", "de", "v1", "delete", 7, None),
+        ("a", "en", "v2", "insert", 3, None),
+    )
+    assert rollup.commit("2", second)
+    wanted = {("a", "en", "v1"): (2, 13), ("a", None, "v1"): (1, 0), ("a", "en", "v2"): (1, 3)}
+    assert totals(rollup) == wanted
+    # Another order, and a process that knows of the folder only.
+    other = Rollup(spark, scratch.new_folder(spark, "totals"))
+    other.commit("2", second)
+    other.commit("1", first)
+    assert totals(Rollup(spark, other.folder)) == wanted
+
+
+def test_commit_that_failed_is_made_again(spark):
+    rollup = Rollup(spark, scratch.new_folder(spark, "totals"))
+    broken = batch(spark, ("a", "en", "v1", "upsert", 1, None))
+    with pytest.raises(Exception, match="unknown change upsert"):
+        rollup.commit("1", broken)
+    assert rollup.batches() == [] and totals(rollup) == {}
+    assert rollup.commit("1", batch(spark, ("a", "en", "v1", "insert", 1, None)))
+    assert totals(rollup) == {("a", "en", "v1"): (1, 1)}
+    assert rollup.commit("2", batch(spark).limit(0))
+    assert rollup.batches() == ["1", "2"]
+
+
+def test_stream_batches_are_committed_once(spark):
+    rollup = Rollup(spark, scratch.new_folder(spark, "totals"))
+    commit = rollup.writer("stream")
+    rows = batch(spark, ("a", "en", "v1", "insert", 2, None))
+    for number in (0, 1, 1, 0):
+        commit(rows, number)
+    assert totals(rollup) == {("a", "en", "v1"): (2, 4)}
+
+
+def test_tokenizers(spark):
+    df = spark.createDataFrame([("It's 2.5 km,\tno\x0bé☃!",), ("",), (None,)], "t string")
+    rows = df.select(token_counts.words(F.col("t")), token_counts.words_and_marks(F.col("t"))).collect()
+    assert [tuple(r) for r in rows] == [(5, 11), (0, 0), (0, 0)]

@@ -1,0 +1,82 @@
+"""WARC archives: exact round trips and revisits."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+from base64 import b32encode
+
+import pyarrow.fs
+from pyspark.sql import functions as F
+
+from tunemart import scratch
+from tunemart.llm import warc
+
+PAGES = [
+    (3, "http://a/1", "<p>same</p>"),
+    (1, "http://a/2", "<p>same</p>"),
+    (2, None, "<p>same</p>"),
+    (2, "http://a/3", None),
+    (7, "http://a\r\nX: 1", ""),
+    (8, "http://é/", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n\x00é☃" + "x" * 300_000),
+    (None, "http://n", "<p>same</p>"),
+    (None, "http://n", "only without id"),
+    (None, "http://n", "only without id"),
+    (9, "http://a/9", "lone"),
+    (1, "http://a/2", "<p>same</p>"),
+]
+SCHEMA = "page_id long, url string, html string"
+
+
+def digest(html):
+    return b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+
+
+def test_round_trip_and_revisits(spark):
+    df = spark.createDataFrame(PAGES, SCHEMA).withColumn("archive", F.lit("clash")).repartition(3)
+    found = warc.deduplicate(df, limit=1000).collect()
+    assert len(found) == len(PAGES)
+    assert sorted((str(r.page_id), r.payload_digest, r.payload_bytes) for r in found) == sorted(
+        (str(i), digest(h), len((h or "").encode())) for i, _, h in PAGES
+    )
+    by_digest = {}
+    for r in found:
+        by_digest.setdefault(r.payload_digest, []).append(r)
+    for rows in by_digest.values():
+        assert [r.record_type for r in rows].count("response") == 1
+        ids = [r.page_id for r in rows if r.page_id is not None]
+        first = min(ids, default=None)
+        for r in rows:
+            if r.record_type == "response":
+                assert r.page_id == first and r.refers_to is None
+            else:
+                assert r.refers_to == first
+
+
+def test_small_payloads_stay(spark):
+    found = warc.deduplicate(spark.createDataFrame(PAGES, SCHEMA), min_bytes=12).collect()
+    kinds = {(r.payload_bytes, r.record_type) for r in found}
+    assert (11, "revisit") not in kinds and (15, "revisit") in kinds
+
+
+def test_archives_are_warc_files(spark):
+    folder = scratch.new_folder(spark, "warc")
+    placed = warc.write_archives(spark.createDataFrame(PAGES, SCHEMA).coalesce(1), folder, limit=500)
+    files, root = pyarrow.fs.FileSystem.from_uri(warc._as_uri(folder))
+    names = {r.archive for r in placed.collect()}
+    assert len(names) > 1
+    payloads = []
+    for name in names:
+        content = files.open_input_stream(f"{root}/{name}", compression=None).read()
+        plain = gzip.decompress(content)
+        assert plain.startswith(b"WARC/1.1\r\n") and plain.endswith(b"\r\n\r\n")
+        records = list(warc.parse(plain))
+        assert len({r.fields["WARC-Record-ID"] for r in records}) == len(records)
+        payloads += [r.payload.decode() for r in records]
+        for at, record in warc.read_records(warc._as_uri(folder), name):
+            assert next(warc.parse(gzip.decompress(content[at:]))).fields == record.fields
+    assert sorted(payloads) == sorted(h or "" for _, _, h in PAGES)
+
+
+def test_empty_table(spark):
+    assert warc.deduplicate(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,7 +23,7 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], column: str, n_bytes: int = SLICE_BYTES
+    batches: Iterable[pa.RecordBatch], column: str | int, n_bytes: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds about `n_bytes` of `column`, and one row at least."""
     for batch in batches:
@@ -41,3 +41,15 @@ def slices(
 def text_key(text: Column) -> Column:
     """128 bits that stand for a whole text; NULL and empty texts share theirs."""
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be no column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found

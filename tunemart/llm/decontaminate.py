@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunemart import scratch
-from tunemart.llm.common import slices
+from tunemart.llm.common import slices, text_key
 
 WINDOW = 8
 COVERAGE = 0.6  # of the item's windows
@@ -172,16 +172,15 @@ def candidate_windows(docs: DataFrame, bits: np.ndarray, widths: list[int]) -> D
             columns = list(zip(*rows)) or [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-    keyed = docs.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_id"), "text")
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_id"), "text")
     return keyed.mapInArrow(run, schema)
 
 
-def matches(
+def consistent_matches(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: float = COVERAGE
 ) -> DataFrame:
-    """Pairs of a document and an item that it holds, in the item's words or re-parameterised.
-
-    Columns doc_id, item_id, coverage (share of the item's windows that were found), doc_place
+    """Matches of a text and an item, one for each diagonal; `text_id` tells apart the texts of
+    documents with one id. Columns doc_id, text_id, item_id, coverage (share of the item's windows that were found), doc_place
     (word at which the item begins in the document, or would), n_slots, exact (all slots have
     the item's values).
     """
@@ -213,14 +212,21 @@ def matches(
     ]
     consistent = (F.size("slots") == sides[0]) & (F.size("slots") == sides[1])
     changed = F.exists("slots", lambda s: s["item_values"] != s["doc_values"])
-    kept = pairs.filter((F.col("coverage") >= coverage) & consistent).select(
+    return pairs.filter((F.col("coverage") >= coverage) & consistent).select(
         "doc_id",
+        "text_id",
         "item_id",
         "coverage",
         "doc_place",
         F.size("slots").alias("n_slots"),
         (~changed).alias("exact"),
     )
+
+
+def matches(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """Pairs of a document and an item that it holds, in the item's words or re-parameterised:
+    doc_id, item_id and the columns of the best of their matches."""
+    kept = consistent_matches(docs, items, **options)
     best = F.struct("coverage", "exact", (-F.col("doc_place")).alias("first"), "doc_place", "n_slots")
     top = kept.groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
     return top.select("doc_id", "item_id", *[f"b.{c}" for c in ("coverage", "doc_place", "n_slots", "exact")])
@@ -228,6 +234,6 @@ def matches(
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents, all columns, without those that hold an item."""
-    thin = docs.select("doc_id", "text")
-    found = matches(thin, items, **options).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    found = consistent_matches(docs, items, **options).select("doc_id", "text_id").distinct()
+    same = docs["doc_id"].eqNullSafe(found["doc_id"]) & (text_key(docs["text"]) == found["text_id"])
+    return docs.join(found, same, "left_anti")

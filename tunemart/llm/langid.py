@@ -312,3 +312,16 @@ def identify(
             yield pa.RecordBatch.from_arrays(kept + found, names=schema.names)
 
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+
+
+def without_rejected(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, that are not rejected."""
+    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch], place):
+                rejected = decide(shared.value, part.column(place).to_pylist())[2]
+                yield part.filter(pa.array(~rejected))
+
+    return docs.mapInArrow(run, docs.schema)

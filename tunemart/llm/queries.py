@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import public_tokenizers
 from tunemart import scratch
 from tunemart.llm import bpe, covertree, decontaminate, katz, langid, sharding, simhash, substring_dedup, token_counts, warc
@@ -143,6 +144,7 @@ QUERIES = {
     "op8_katz_scores": op8_katz_scores,
     "op9_template_leaks": op9_template_leaks,
     "op10_cover_tree_pairs": op10_cover_tree_pairs,
+    "pipeline": corpus_pipeline.run,
 }
 # Base 32 of a SHA-1: five hexadecimal digits are twenty bits, or four characters.
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunemart import scratch
-from tunemart.llm.common import slices
+from tunemart.llm.common import fresh, slices
 from tunemart.llm.components import connected_components
 
 SEED = 42
@@ -172,6 +172,16 @@ def links(fps: DataFrame, max_distance: int = MOST_DISTANCE) -> DataFrame:
     return found.select(F.col("fp").alias("u"), "v").distinct()
 
 
+def components(marked: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, component_id) for every `fp` of rows (fp, doc_id), which have to be written."""
+    roots = connected_components(links(marked, max_distance)).toDF("fp", "root")
+    smallest = marked.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    placed = smallest.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = scratch.materialize(placed, "placed")
+    named = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return placed.join(named, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(
     df: DataFrame,
     text: str = "text",
@@ -182,10 +192,26 @@ def near_duplicates(
     """One row per document: its id, `fp`, and `component_id`, the smallest id reachable by links."""
     found = fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle)
     marked = scratch.materialize(found, "fingerprints")
-    roots = connected_components(links(marked, max_distance)).toDF("fp", "root")
-    smallest = marked.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    placed = smallest.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    placed = scratch.materialize(placed, "placed")
-    named = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_print = placed.join(named, "root").select("fp", "component_id")
+    by_print = components(marked, max_distance).select("fp", "component_id")
     return marked.join(by_print, "fp").select(F.col("doc_id").alias(doc_id), "fp", "component_id")
+
+
+def deduplicate(docs: DataFrame, shingle: int = 3, max_distance: int = MOST_DISTANCE) -> DataFrame:
+    """One row of `docs`, all columns, for each component: that with the smallest id, of equal
+    ids any one."""
+    fp, row = fresh(docs, "fp", "row")
+    schema = T.StructType(docs.schema.fields + [T.StructField(fp, T.LongType())])
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, place):
+            found = [text_fingerprint(t, shingle) for t in batch.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=schema.names)
+
+    marked = docs.mapInArrow(run, schema).withColumn(row, F.monotonically_increasing_id())
+    marked = scratch.materialize(marked, "marked")
+    thin = marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
+    roots = components(thin.select("doc_id", "fp"), max_distance).select("fp", "root")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    kept = thin.join(roots, "fp").groupBy("root").agg(F.min_by("row", order).alias("row"))
+    return marked.join(kept.select(F.col("row").alias(row)), row, "left_semi").select(*docs.columns)

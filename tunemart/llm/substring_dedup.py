@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunemart import scratch
-from tunemart.llm.common import slices
+from tunemart.llm.common import fresh, slices
 
 WINDOW = 16  # bytes that the rolling hash sees: its bits
 MASK_BITS = 4  # one place in 2^4 may be a cut
@@ -173,27 +173,24 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def cut(docs: DataFrame, passages: DataFrame, text: str = "text") -> DataFrame:
     """The documents, all columns, their texts without the passages found in them."""
-    own = ("_mark", "_id", "_spans")
-    if clash := {*own} & {*docs.columns}:
-        raise ValueError(f"columns {sorted(clash)} are used here; rename them first")
-    spans = passages.groupBy(F.col("doc_id").alias("_id"), F.col("text_mark").alias("_mark")).agg(
-        F.collect_list(F.struct("start_byte", "end_byte")).alias("_spans")
+    [spans_name] = fresh(docs, "spans")
+    spans = passages.groupBy(F.col("doc_id").alias("id"), F.col("text_mark").alias("mark")).agg(
+        F.collect_list(F.struct("start_byte", "end_byte")).alias(spans_name)
     )
-    mark = F.shiftrightunsigned(F.xxhash64(text), 64 - TEXT_BITS)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (mark == F.col("_mark"))
-    joined = docs.join(spans, same, "left").drop("_id", "_mark")
-    place = docs.columns.index(text)
+    mark = F.shiftrightunsigned(F.xxhash64(F.coalesce(docs[text], F.lit(""))), 64 - TEXT_BITS)
+    same = docs["doc_id"].eqNullSafe(spans["id"]) & (mark == spans["mark"])
+    joined = docs.join(spans, same, "left").select(*[docs[c] for c in docs.columns], spans[spans_name])
+    names, place = docs.columns, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = zip(batch.column(place).to_pylist(), batch.column(len(docs_columns)).to_pylist())
+            found = zip(batch.column(place).to_pylist(), batch.column(len(names)).to_pylist())
             texts = [
                 without(t.encode(), [(s["start_byte"], s["end_byte"]) for s in spans]).decode() if spans else t
                 for t, spans in found
             ]
-            columns = list(batch.columns[: len(docs_columns)])
+            columns = list(batch.columns[: len(names)])
             columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    docs_columns = docs.columns
-    return joined.select(*docs_columns, "_spans").mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, docs.schema)
