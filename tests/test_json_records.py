@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -16,6 +16,7 @@ from tunemart.sources.json_records import (
     read_path_map,
     read_songs,
     split_bad_records,
+    split_bad_values,
 )
 
 EVENT = {"userId": "39", "ts": 1541105830796, "page": "NextSong", "length": 218.93179}
@@ -74,6 +75,8 @@ def test_decimals_are_cut_not_rounded(spark, tmp_path):
     rows = read_events(spark, folder).orderBy("itemInSession").collect()
     assert [r.length for r in rows] == [Decimal(218), Decimal(-218)]
     assert {r.registration for r in rows} == {Decimal(1540919166796)}
+    df = spark.createDataFrame([("0.99999999999999999999",), (" -0.9999999999999999999 ",)], "t string")
+    assert {r[0] for r in df.select(to_decimal(df.t, 18, 0)).collect()} == {Decimal(0)}
     df = spark.createDataFrame([("218.93179",)], "t string")
     assert df.select(to_decimal(df.t, 18, 0, truncate=False)).first()[0] == Decimal(219)
 
@@ -127,7 +130,8 @@ def test_nested_paths(spark, tmp_path, mode):
         {"user": 5, "ts": None},
     )
     paths = nested_paths(userId="$.user.id", lastName="$.user.names[1]")
-    rows = read_events(spark, folder, paths=paths, on_bad_record=mode).orderBy("userId").collect()
+    rows = read_events(spark, folder, paths=paths, on_bad_record=mode, on_bad_value="null")
+    rows = rows.orderBy("userId").collect()
     assert [(r.userId, r.lastName, r.length) for r in rows] == [
         (None, None, None),
         (39, "Lee", Decimal(218)),
@@ -209,11 +213,92 @@ def test_record_that_is_a_list(spark, tmp_path):
     assert (row.artist, row.page, row.userId, row.song) == ("Ann", "Home", 7, None)
 
 
-def test_bad_value_is_null_or_fails(spark, tmp_path):
-    folder = write_lines(tmp_path, {"userId": "abc", "status": 200})
-    assert read_events(spark, folder).first().userId is None
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        read_events(spark, folder, on_bad_value="fail").collect()
+BY_PATH = nested_paths(auth="$.deep.auth")
+
+
+# JSON of a number, and the user id, the length and the time that it gives; "bad"
+# where it does not fit.
+SPELLINGS = [
+    ("39", 39, 39, 39),
+    ('"39"', 39, 39, 39),
+    ("39.0", 39, 39, 39),
+    ('"39.0"', 39, 39, 39),
+    ("3.9e1", 39, 39, 39),
+    ("390E-1", 39, 39, 39),
+    ('" 39 "', 39, 39, 39),
+    ("-7", -7, -7, -7),
+    ('""', None, None, None),
+    ('"  "', None, None, None),
+    ("null", None, None, None),
+    ("39.5", "bad", 39, "bad"),
+    ("39.0000000000000000000001", "bad", 39, "bad"),
+    ("3000000000", "bad", 3000000000, 3000000000),
+    ("1e30", "bad", "bad", "bad"),
+    ("1e17", "bad", 10**17, "bad"),
+    ('"abc"', "bad", "bad", "bad"),
+    ("true", "bad", "bad", "bad"),
+    ('{"a": 1}', "bad", "bad", "bad"),
+    ('"NaN"', "bad", "bad", "bad"),
+]
+
+
+@pytest.mark.parametrize("paths", [None, BY_PATH])
+def test_spellings_of_numbers(spark, tmp_path, paths):
+    lines = [
+        f'{{"itemInSession": {k}, "userId": {n}, "length": {n}, "ts": {n}, "artist": {n}}}'
+        for k, (n, *_) in enumerate(SPELLINGS)
+    ]
+    folder = write_lines(tmp_path, *lines)
+    rows = read_events(spark, folder, paths=paths, on_bad_value="reject").orderBy("itemInSession").collect()
+    epoch = datetime(1970, 1, 1)
+    for (spelled, *wanted), row in zip(SPELLINGS, rows, strict=True):
+        bad = {b.column_name for b in row._bad_values}
+        found = [
+            "bad" if column in bad else value
+            for column, value in (
+                ("userId", row.userId),
+                ("length", row.length),
+                ("ts", row.ts and (row.ts - epoch) // timedelta(milliseconds=1)),
+            )
+        ]
+        assert found == wanted, spelled
+    other = read_events(spark, folder, paths=None if paths else BY_PATH, on_bad_value="reject")
+    assert sorted(map(str, other.collect())) == sorted(map(str, rows))
+    with pytest.raises(Exception, match="BAD_VALUE: staging_events"):
+        read_events(spark, folder, paths=paths).collect()
+    nulls = read_events(spark, folder, paths=paths, on_bad_value="null")
+    assert nulls.filter("userId IS NULL").count() == sum(not isinstance(w, int) for _, w, _, _ in SPELLINGS)
+
+
+def test_too_large_coordinates_are_bad(spark, tmp_path):
+    folder = write_lines(tmp_path, {"song_id": "S", "artist_latitude": 1234.5})
+    with pytest.raises(Exception, match="BAD_VALUE: staging_songs.artist_latitude: 1234.5"):
+        read_songs(spark, folder).collect()
+    good, bad = split_bad_values(read_songs(spark, folder, on_bad_value="reject"))
+    assert good.count() == 0 and bad.collect() == [("artist_latitude", "1234.5")]
+
+
+@pytest.mark.parametrize("paths", [None, BY_PATH])
+@pytest.mark.parametrize("mode", ["fail", "quarantine"])
+def test_no_rows_from_nothing(spark, tmp_path, paths, mode):
+    folder = write_lines(tmp_path / "empty", "[]", " [ ] ")
+    assert read_events(spark, folder, paths=paths, on_bad_record=mode).count() == 0
+    lines = ["[null]", '{"userId": 1}, null', '{"userId": 1},{"userId": 2}', '[{"userId": 3}, null]', "[5]"]
+    for k, line in enumerate(lines):
+        folder = write_lines(tmp_path / str(k), line)
+        rows = read_events(spark, folder, paths=paths, on_bad_record=mode)
+        if mode == "fail":
+            with pytest.raises(Exception, match="MALFORMED_RECORD"):
+                rows.collect()
+        else:
+            good, bad = split_bad_records(rows)
+            assert good.count() == 0 and [r.record for r in bad.collect()] == [line]
+
+
+@pytest.mark.parametrize("paths", [None, BY_PATH])
+def test_last_of_repeated_fields_counts(spark, tmp_path, paths):
+    folder = write_lines(tmp_path, '{"userId": 1, "userId": 2}')
+    assert read_events(spark, folder, paths=paths).first().userId == 2
 
 
 def test_blank_passes_strict_load(spark, tmp_path):

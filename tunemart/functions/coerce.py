@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tunemart.schemas import Table
 
+BAD_VALUES = "_bad_values"
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 _DECIMAL = re.compile(r"DECIMAL\((\d+),(\d+)\)")
 
@@ -16,45 +17,77 @@ _DECIMAL = re.compile(r"DECIMAL\((\d+),(\d+)\)")
 TRUNCATE_DECIMALS = True
 
 
-def _cast(col: Column, type_name: str, strict: bool) -> Column:
-    """Blank text is NULL; other text that does not fit is NULL too, or an error if strict."""
-    if not strict:
-        return col.try_cast(type_name)
-    return F.when(F.trim(col) != "", col).cast(type_name)
+# Milliseconds that a timestamp can hold.
+_MILLIS = (1 << 63) // 1000
 
+# Digits that a decimal is read with behind its point.
+_PLACES = 18
 
-def epoch_millis(col: Column, strict: bool = False) -> Column:
+
+def _exact(text: Column) -> Column:
+    """A number as it is spelled (39, 39.0, 1.541e12), its digits behind the 18th cut off.
+
+    With an exponent, digits behind the 18th are rounded.
+    """
+    cut = F.regexp_replace(text, rf"^(\s*[+-]?\d*\.\d{{{_PLACES}}})\d+(\s*)$", "$1")
+    return cut.try_cast(f"decimal(38,{_PLACES})")
+
+
+def to_whole(text: Column, type_name: str) -> Column:
+    """A whole number in any spelling; a fraction or too large a number is NULL."""
+    exact = _exact(text)
+    fraction = (exact != F.floor(exact)) | text.rlike(rf"\.\d{{{_PLACES}}}\d*[1-9]")
+    return F.when(~fraction, exact.cast("decimal(20,0)")).try_cast(type_name)
+
+
+def epoch_millis(text: Column) -> Column:
     """Epoch milliseconds to a timestamp without zone, whatever the session zone is."""
-    return F.timestamp_add("MILLISECOND", _cast(col, "bigint", strict), F.expr(EPOCH))
+    millis = to_whole(text, "bigint")
+    known = F.when(millis.between(-_MILLIS, _MILLIS), millis)
+    return F.timestamp_add("MILLISECOND", known, F.expr(EPOCH))
 
 
-def to_decimal(
-    col: Column, precision: int, scale: int, strict: bool = False, truncate: bool = TRUNCATE_DECIMALS
-) -> Column:
+def to_decimal(text: Column, precision: int, scale: int, truncate: bool = TRUNCATE_DECIMALS) -> Column:
     """Text to DECIMAL(precision, scale)."""
-    exact = _cast(col, "decimal(38,18)", strict)
+    exact = _exact(text)
     if truncate:
         digits = F.lit(scale)
         exact = F.when(exact < 0, F.ceil(exact, digits)).otherwise(F.floor(exact, digits))
-    target = f"decimal({precision},{scale})"
-    return exact.cast(target) if strict else exact.try_cast(target)
+    return exact.try_cast(f"decimal({precision},{scale})")
 
 
-def to_type(col: Column, type_name: str, strict: bool = False) -> Column:
-    """One text column to one declared type."""
+def to_type(text: Column, type_name: str) -> Column:
+    """One text column to one declared type; text that does not fit is NULL."""
     decimal = _DECIMAL.fullmatch(type_name)
     if decimal:
-        return to_decimal(col, int(decimal[1]), int(decimal[2]), strict)
+        return to_decimal(text, int(decimal[1]), int(decimal[2]))
     if type_name == "TIMESTAMP_NTZ":
-        return epoch_millis(col, strict)
+        return epoch_millis(text)
     if type_name == "STRING":
-        return col
-    return _cast(col, type_name, strict)
+        return text
+    return to_whole(text, type_name)
 
 
 def coerce(
-    texts: DataFrame, table: Table, strict: bool = False, keep: tuple[str, ...] = ()
+    texts: DataFrame, table: Table, on_bad_value: str = "fail", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Type every column of `table` from text; columns named in `keep` pass unchanged."""
-    typed = [to_type(F.col(c.name), c.value_type, strict).alias(c.name) for c in table.columns]
+    """Type every column of `table` from text; columns named in `keep` pass unchanged.
+
+    Blank text is NULL. Other text that does not fit its column is a bad value: it fails the
+    job, becomes NULL, or with "reject" is listed in the column `_bad_values`.
+    """
+    typed, listed = [], []
+    for c in table.columns:
+        text = F.col(c.name)
+        value = to_type(text, c.value_type)
+        if c.value_type != "STRING":
+            bad = value.isNull() & (F.trim(text) != "")
+            if on_bad_value == "fail":
+                message = F.concat(F.lit(f"BAD_VALUE: {table.name}.{c.name}: "), text)
+                value = F.when(bad, F.raise_error(message).cast(c.value_type)).otherwise(value)
+            entry = F.struct(F.lit(c.name).alias("column_name"), text.alias("value"))
+            listed.append(F.when(bad, entry))
+        typed.append(value.alias(c.name))
+    if on_bad_value == "reject":
+        typed.append(F.filter(F.array(*listed), lambda x: x.isNotNull()).alias(BAD_VALUES))
     return texts.select(*typed, *keep)

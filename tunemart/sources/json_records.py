@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunemart.functions.coerce import coerce
+from tunemart.functions.coerce import BAD_VALUES, coerce
 from tunemart.schemas import STAGING_EVENTS, STAGING_SONGS, Table
 
 CORRUPT = "_corrupt_record"
@@ -41,9 +42,7 @@ def _top_level_names(paths: list[str]) -> list[str] | None:
     return names if len({n.lower() for n in names}) == len(set(names)) else None
 
 
-def _texts(
-    spark: SparkSession, location: str | list[str], multiline: bool, quarantine: bool, arrays: str
-) -> DataFrame:
+def _texts(spark: SparkSession, location: str | list[str], multiline: bool, arrays: str) -> DataFrame:
     """Columns `value`, one record as it stands in the file, and `list`, the same as a list.
 
     A JSON parser stops at the end of the first value. Inside a list it has to read on, so
@@ -55,36 +54,45 @@ def _texts(
     as_list = F.when(value.startswith("{"), wrapped).when(
         value.startswith("["), wrapped if arrays == "record" else value
     )
-    if not quarantine:
-        message = F.concat(F.lit("MALFORMED_RECORD: "), F.substring(value, 1, 200))
-        as_list = as_list.otherwise(F.raise_error(message))
     texts = spark.read.text(location, wholetext=multiline, recursiveFileLookup=True)
     trimmed = texts.select(F.trim("value", F.lit(BLANKS)).alias("value"))
     return trimmed.filter(value != "").select("value", as_list.alias("list"))
 
 
-def _by_name(texts: DataFrame, names: list[str], quarantine: bool) -> tuple[DataFrame, list[Column]]:
-    """Top-level fields as text, other fields skipped."""
-    fields = [T.StructField(n, T.StringType()) for n in dict.fromkeys(names)]
-    mode = {"mode": "PERMISSIVE" if quarantine else "FAILFAST"}
-    parsed = texts.select(
-        "value", F.from_json("list", T.ArrayType(T.StructType(fields)), mode).alias("records")
-    )
-    rows = parsed.select(
-        F.when(F.col("records").isNull(), F.col("value")).alias(CORRUPT), F.inline_outer("records")
-    )
-    return rows, [F.col(f"`{n}`") for n in names]
-
-
-def _by_path(texts: DataFrame, paths: list[str], quarantine: bool) -> tuple[DataFrame, list[Column]]:
-    """Values at any paths as text."""
-    parse = F.try_parse_json if quarantine else F.parse_json
-    parsed = texts.select("value", parse("list").alias("records"))
-    rows = parsed.select(
-        F.when(F.col("records").isNull(), F.col("value")).alias(CORRUPT),
-        F.explode_outer(F.try_variant_get("records", "$", "array<variant>")).alias("record"),
-    )
-    return rows, [F.try_variant_get("record", p, "string") for p in paths]
+def _by_name(names: list[str]) -> tuple[Column, Callable, list[Column]]:
+    """Records with top-level fields, other fields skipped; what is none; the values as text."""
+    fields = [T.StructField(n, T.VariantType()) for n in dict.fromkeys(names)]
+    records = F.from_json("list", T.ArrayType(T.StructType(fields)))
+    return records, F.isnull, [F.try_variant_get(f"record.`{n}`", "$", "string") for n in names]
+
+
+def _by_path(paths: list[str], arrays: str) -> tuple[Column, Callable, list[Column]]:
+    """Records as a whole; what is none; values at any paths as text."""
+    kind = "ARRAY" if arrays == "record" else "OBJECT"
+    records = F.try_variant_get(F.try_parse_json("list"), "$", "array<variant>")
+    no_record = lambda r: ~F.schema_of_variant(r).startswith(kind)
+    if arrays == "record":
+        no_record = lambda r: ~F.schema_of_variant(r).rlike("^(ARRAY|OBJECT)")
+    return records, no_record, [F.try_variant_get("record", p, "string") for p in paths]
+
+
+def _rows(texts: DataFrame, records: Column, no_record: Callable, quarantine: bool) -> DataFrame:
+    """Columns `record`, and the text of what is malformed: no JSON, something else than a
+    record in a list, or more or less than one record where a list was not opened."""
+    value, found = F.col("value"), F.col("records")
+    parsed = texts.select("value", records.alias("records"))
+    single = value.startswith("{") & (F.size(found) != 1)
+    bad = F.coalesce(found.isNull() | F.exists(found, no_record) | single, F.lit(True))
+    marked = parsed.select("value", "records", bad.alias("bad"))
+    kind = parsed.schema["records"].dataType
+    if quarantine:
+        instead = F.array(F.lit(None).cast(kind.elementType))
+    else:
+        message = F.concat(F.lit("MALFORMED_RECORD: "), F.substring(value, 1, 200))
+        instead = F.raise_error(message).cast(kind)
+    listed = F.when(F.col("bad"), instead).otherwise(found)
+    # A list without records has no rows.
+    return marked.select(F.when(F.col("bad"), value).alias(CORRUPT), F.explode(listed).alias("record"))
 
 
 def read_records(
@@ -93,29 +101,32 @@ def read_records(
     table: Table,
     paths: list[str] | None = None,
     on_bad_record: str = "fail",
-    on_bad_value: str = "null",
+    on_bad_value: str = "fail",
     multiline: bool = False,
 ) -> DataFrame:
     """Typed rows of `table` from JSON files anywhere below `location`.
 
     The i-th path fills the i-th column and an absent path gives NULL. A malformed record
     fails the read; with "quarantine" its text is kept in an extra column instead
-    (see `split_bad_records`).
+    (see `split_bad_records`). So does a value that does not fit its column; with "reject"
+    it is listed in an extra column (see `split_bad_values`), with "null" it is NULL.
+
+    Records are taken apart by name where all paths are top-level fields, and by path else;
+    both give the same values, and parse a record once. A first path step that is a number
+    (`$[0]`) says that records are lists.
     """
     paths = default_paths(table) if paths is None else paths
     if len(paths) != len(table.columns):
         raise ValueError(f"{table.name} has {len(table.columns)} columns, got {len(paths)} paths")
     quarantine = on_bad_record == "quarantine"
     names = _top_level_names(paths)
-    arrays = "record" if names is None else "records"
-    texts = _texts(spark, location, multiline, quarantine, arrays)
-    # Either way a record is parsed once, whatever the number of columns.
-    rows, values = (
-        _by_path(texts, paths, quarantine) if names is None else _by_name(texts, names, quarantine)
-    )
+    arrays = "record" if any(re.match(r"\$\[\d", p) for p in paths) else "records"
+    texts = _texts(spark, location, multiline, arrays)
+    records, no_record, values = _by_path(paths, arrays) if names is None else _by_name(names)
+    rows = _rows(texts, records, no_record, quarantine)
     keep = (CORRUPT,) if quarantine else ()
     picked = rows.select(*[v.alias(c) for v, c in zip(values, table.column_names)], *keep)
-    return coerce(picked, table, strict=on_bad_value == "fail", keep=keep)
+    return coerce(picked, table, on_bad_value, keep)
 
 
 def split_bad_records(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -125,6 +136,13 @@ def split_bad_records(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def split_bad_values(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows all of whose values fit, the values that do not by column) of a read with "reject"."""
+    good = rows.filter(F.size(BAD_VALUES) == 0).drop(BAD_VALUES)
+    bad = rows.select(F.explode(BAD_VALUES).alias("b")).select("b.column_name", "b.value")
+    return good, bad
+
+
 def read_events(spark: SparkSession, location: str | list[str], **options) -> DataFrame:
     """Activity log records by path map."""
     return read_records(spark, location, STAGING_EVENTS, **options)
