@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from types import SimpleNamespace
 
 import pytest
@@ -22,10 +21,10 @@ def test_folder_of_the_session_is_used():
     assert scratch.shared_root(cluster) == "hdfs://name/ckpt"
 
 
-def test_temporary_folder_only_in_local_mode():
-    assert scratch.shared_root(session("local[4]")) == tempfile.gettempdir()
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.shared_root(session("spark://host:7077"))
+def test_folder_beside_the_warehouse_otherwise():
+    for master in ("local[4]", "spark://host:7077"):
+        unset = session(master, **{"spark.sql.warehouse.dir": "hdfs://name/warehouse/"})
+        assert scratch.shared_root(unset) == "hdfs://name/warehouse-scratch"
 
 
 def test_scope_removes_only_its_own(spark):

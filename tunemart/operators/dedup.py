@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tunemart.operators.keys import number_rows
 from tunemart.scratch import materialize
 
-# Largest group that one task may rank by itself.
-GROUP_ROWS = 1_000_000
-
 
 def keep_first(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """The first row of every key under a total order.
@@ -22,42 +24,68 @@ def keep_first(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def rank_within(
-    df: DataFrame, key: str, order: list[str], rank: str, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def rank_within(df: DataFrame, key: str, order: list[str], rank: str) -> DataFrame:
     """All rows with their position within the key, ordered by `order`, NULLs last.
 
-    Every row survives, so a window has to bring a whole key into one task. Keys with more
-    than `group_rows` rows are found first; theirs are ranked through a range sort in which
-    a key may spread over many tasks.
+    Every row survives, so that a window would bring a whole key into one task. Here rows are
+    sorted by key, order and a number of their own over all partitions, in which a key may
+    spread, and are written with their position among the rows of their key in the partition.
+    Only a key that began in an earlier partition needs more: what came of it before, which is
+    one number per partition.
     """
-    sizes = df.groupBy(key).count()
-    # Each of these keys stands for more than `group_rows` rows, so they are few.
-    frequent = sizes.filter(F.col("count") > group_rows).select(key).collect()
-    if not frequent:
-        return _rank_by_window(df, key, order, rank)
-
-    spark = df.sparkSession
-    keys = F.broadcast(spark.createDataFrame(frequent, df.select(key).schema).toDF("_key"))
-    is_frequent = F.col(key).eqNullSafe(F.col("_key"))
-    others = _rank_by_window(df.join(keys, is_frequent, "left_anti"), key, order, rank)
-    spread = _rank_by_range(df.join(keys, is_frequent, "left_semi"), key, order, rank)
-    return others.unionByName(spread)
-
-
-def _rank_by_window(df: DataFrame, key: str, order: list[str], rank: str) -> DataFrame:
-    ordering = [F.col(c).asc_nulls_last() for c in order]
-    return df.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(*ordering)))
-
-
-def _rank_by_range(df: DataFrame, key: str, order: list[str], rank: str) -> DataFrame:
-    """Position in the sorted whole, less the position where the key starts."""
-    # Equal rows get a number of their own, written down, so that they can spread too.
-    copies = materialize(df.withColumn("_copy", F.monotonically_increasing_id()), "copies")
-    numbered = number_rows(copies, "_pos", order=[key, *order, "_copy"])
-    starts = numbered.groupBy(F.col(key).alias("_key")).agg(F.min("_pos").alias("_start"))
-    return (
-        numbered.join(starts, F.col(key).eqNullSafe(F.col("_key")))
-        .withColumn(rank, (F.col("_pos") - F.col("_start") + 1).cast("int"))
-        .select(*df.columns, rank)
+    sorting = [F.col(c).asc_nulls_last() for c in (key, *order, "_copy")]
+    placed = (
+        df.withColumn("_copy", F.monotonically_increasing_id())
+        .repartitionByRange(*sorting)
+        .sortWithinPartitions(*sorting)
+        .select(*df.columns, F.spark_partition_id().alias("_part"))
+    )
+    schema = T.StructType(
+        placed.schema.fields + [T.StructField("_rank", T.LongType()), T.StructField("_leads", T.BooleanType())]
+    )
+    ranked = materialize(placed.mapInArrow(_rank_in_partition(df.columns.index(key)), schema), "ranked")
+    ends = ranked.groupBy("_part").agg(
+        F.count_if("_leads").alias("leading"),
+        F.count("*").alias("n"),
+        F.min(F.struct(F.col(key).isNull(), key)).alias("first"),
+        F.max(F.struct(F.col(key).isNull(), key)).alias("last"),
+        F.max(F.struct(F.col(key).isNull(), key, "_rank")).alias("end"),
     )
+    carry, before, last = [], 0, None
+    for part in sorted(ends.collect(), key=lambda r: r["_part"]):  # one row per partition
+        carried = before if part["first"] == last else 0
+        carry.append((part["_part"], carried))
+        one_key = part["leading"] == part["n"]
+        before = part["end"]["_rank"] + (carried if one_key else 0)
+        last = part["last"]
+    carries = F.broadcast(df.sparkSession.createDataFrame(carry, "_part int, _carry long"))
+    position = F.col("_rank") + F.when(F.col("_leads"), F.col("_carry")).otherwise(F.lit(0))
+    return ranked.join(carries, "_part").select(*df.columns, position.alias(rank))
+
+
+def _rank_in_partition(key: int):
+    """Positions within runs of equal keys, and whether a row is of the partition's first run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, so_far, leads = None, 0, True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            runs = pc.run_end_encode(batch.column(key), run_end_type=pa.int64())
+            ends = runs.run_ends.to_numpy()
+            starts = np.concatenate([[0], ends[:-1]])
+            goes_on = last is not None and runs.values[0].equals(last)
+            begins = starts.copy()
+            begins[0] -= so_far if goes_on else 0
+            ranks = np.arange(batch.num_rows) - np.repeat(begins, ends - starts) + 1
+            leading = np.zeros(batch.num_rows, bool)
+            if leads and (last is None or goes_on):
+                leading[: ends[0]] = True
+            leads = leads and len(ends) == 1 and bool(leading[0])
+            last, so_far = runs.values[-1], int(ranks[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(ranks), pa.array(leading)],
+                names=[*batch.schema.names, "_rank", "_leads"],
+            )
+
+    return run

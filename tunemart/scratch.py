@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import threading
 import uuid
 from collections.abc import Iterator
@@ -32,13 +31,11 @@ _scopes = threading.local()
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode."""
+    """The session's checkpoint folder, else one beside its warehouse, which executors reach too."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.gettempdir()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
 
 
 def _hand_out(item: _Item) -> str:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,16 +17,21 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Song metadata comes as one small file per song: pack many into one task.
     "spark.sql.files.openCostInBytes": str(256 * 1024),
+    # Of a field that is given twice in a record the last one counts, by name and by path.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # The five loads of the star schema share the cluster.
+    "spark.scheduler.mode": "FAIR",
 }
 
 # Raw input per shuffle partition and per bucket: the shuffled columns of a log record are
-# a fraction of its JSON text. The upper limits keep block and file lists manageable; at
-# 100 TB of logs a partition then holds a few hundred megabytes.
+# a fraction of its JSON text. Both numbers follow the input at any size; a limit that a
+# cluster needs is a setting of the load (`max_partitions`, `max_buckets`).
 INPUT_PER_PARTITION = 512 * 1024**2
-MAX_PARTITIONS = 20_000
 INPUT_PER_BUCKET = 4 * 1024**3
-MIN_BUCKETS = 8
-MAX_BUCKETS = 8_192
+LEAST_BUCKETS = 8
+
+# What text takes beside its compressed size, about, by the ending of the file.
+COMPRESSED = {"gz": 8, "bz2": 10, "zst": 8, "xz": 10, "lz4": 4, "snappy": 4, "deflate": 8}
 
 
 def build_session(app_name: str = "tunemart", master: str | None = None, **conf) -> SparkSession:
@@ -36,26 +44,39 @@ def build_session(app_name: str = "tunemart", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-def source_bytes(df: DataFrame) -> int:
-    """Bytes of the files behind a plain scan, as the optimizer knows them."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(spark: SparkSession, *locations: str | list[str]) -> int:
+    """Bytes of text in the files below some paths, from their listing alone."""
+    ending = F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)
+    grown = F.coalesce(F.create_map(*[F.lit(x) for kv in COMPRESSED.items() for x in kv])[ending], F.lit(1))
+    total = 0
+    for location in locations:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
+        total += files.select("path", "length").agg(F.sum(F.col("length") * grown)).first()[0] or 0
+    return total
 
 
-def partitions_for(nbytes: int) -> int:
+def partitions_for(nbytes: int, most: int | None = None) -> int:
     """Shuffle partitions for a load of `nbytes` of raw input."""
-    return min(MAX_PARTITIONS, ceil(nbytes / INPUT_PER_PARTITION))
+    wanted = max(1, ceil(nbytes / INPUT_PER_PARTITION))
+    return min(wanted, most or wanted)
 
 
-def size_shuffle(spark: SparkSession, nbytes: int) -> None:
-    """Raise the session's shuffle partitions to what the input needs.
+def bucket_count_for(nbytes: int, most: int | None = None) -> int:
+    """Buckets of the placed tables for a load of `nbytes` of raw input."""
+    wanted = max(LEAST_BUCKETS, ceil(nbytes / INPUT_PER_BUCKET))
+    return min(wanted, most or wanted)
 
-    Adaptive execution merges what turns out too small, so they are never lowered.
-    """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if partitions_for(nbytes) > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(partitions_for(nbytes)))
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, wanted: int) -> Iterator[None]:
+    """Raise the session's shuffle partitions inside the block, and set them back.
 
-def bucket_count_for(nbytes: int) -> int:
-    """Buckets of the placed tables for a load of `nbytes` of raw input."""
-    return min(MAX_BUCKETS, max(MIN_BUCKETS, ceil(nbytes / INPUT_PER_BUCKET)))
+    Adaptive execution merges what turns out too small, so they are never lowered.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARTISTS = 97
-INT_RANGE = 2**31
 
 # The columns used, declared so that no file has to be opened to plan a query.
 SCHEMAS = {
@@ -93,7 +92,7 @@ def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(key % 3 == 0, F.lit("paid")).otherwise(F.lit("free")).alias("level"),
             F.col("n_name").alias("location"),
             page.alias("page"),
-            F.expr(f"(event_id div 20) % {INT_RANGE}").cast("int").alias("sessionId"),
+            F.expr("event_id div 20").cast("int").alias("sessionId"),
             F.when(is_play, F.concat(F.lit("Song "), song_no.cast("string"))).alias("song"),
             F.when(is_play | (key % 97 != 0), F.col("ts")).alias("ts"),
             F.col("props").alias("userAgent"),
