@@ -5,8 +5,7 @@ from __future__ import annotations
 import argparse
 
 from tunemart import LoadConfig, build_session, create_tables, drop_tables
-from tunemart import insert_tables, load_staging, run
-from tunemart.session import MIN_BUCKETS
+from tunemart.plans.pipeline import create_sized_tables, etl, run
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -16,30 +15,23 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--database", default="default")
     parser.add_argument("--buckets", type=int)
     parser.add_argument("--on-bad-record", default="fail", choices=["fail", "quarantine"])
+    parser.add_argument("--on-bad-value", default="fail", choices=["fail", "reject", "null"])
     parser.add_argument("--on-violation", default="raise", choices=["raise", "reject"])
+    parser.add_argument("--multiline", action="store_true", help="records span lines")
+    parser.add_argument("--ordered-keys", action="store_true", help="number plays reproducibly")
     parser.add_argument("--dedup", action="store_true", help="one row per artist and per time")
     args = parser.parse_args(argv)
-    if args.step != "create-tables" and not args.config:
-        parser.error("--config is needed to load data")
+    if not args.config and (args.step != "create-tables" or args.buckets is None):
+        parser.error("--config is needed to load data, or to size the tables for it")
 
     spark = build_session()
-    if args.step == "create-tables":
+    if not args.config:
         drop_tables(spark, args.database)
-        create_tables(spark, args.database, args.buckets or MIN_BUCKETS)
+        create_tables(spark, args.database, args.buckets)
         return
-    cfg = LoadConfig.from_ini(
-        args.config,
-        database=args.database,
-        buckets=args.buckets,
-        on_bad_record=args.on_bad_record,
-        on_violation=args.on_violation,
-        dedup=args.dedup,
-    )
-    if args.step == "run":
-        run(spark, cfg)
-    else:
-        load_staging(spark, cfg)
-        insert_tables(spark, cfg.database, cfg.on_violation, cfg.ordered_keys, cfg.dedup)
+    settings = {k: v for k, v in vars(args).items() if k not in ("step", "config")}
+    cfg = LoadConfig.from_ini(args.config, **settings)
+    {"create-tables": create_sized_tables, "etl": etl, "run": run}[args.step](spark, cfg)
 
 
 if __name__ == "__main__":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,35 @@ from tunemart.plans.fact import song_plays
 from tunemart.plans.tables import (
     append,
     bad_records_name,
+    bad_values_name,
     create_tables,
     drop_tables,
     full_name,
 )
 from tunemart.schemas import STAGING_EVENTS, STAGING_SONGS
-from tunemart.session import bucket_count_for, size_shuffle, source_bytes
-from tunemart.sources.json_records import read_events, read_path_map, read_songs, split_bad_records
+from tunemart.session import bucket_count_for, input_bytes, partitions_for, shuffle_partitions
+from tunemart.sources.json_records import (
+    read_events,
+    read_path_map,
+    read_songs,
+    split_bad_records,
+    split_bad_values,
+)
+
+
+@dataclass(frozen=True)
+class Size:
+    """Shuffle partitions and buckets of a load."""
+
+    partitions: int
+    buckets: int
+
+
+def size_of(spark: SparkSession, cfg: LoadConfig) -> Size:
+    """What both inputs of a load ask for; the same for each step of it."""
+    nbytes = input_bytes(spark, cfg.log_data, cfg.song_data)
+    buckets = cfg.buckets or bucket_count_for(nbytes, cfg.max_buckets)
+    return Size(partitions_for(nbytes, cfg.max_partitions), buckets)
 
 
 def load_staging(spark: SparkSession, cfg: LoadConfig) -> tuple[DataFrame, DataFrame]:
@@ -42,13 +65,18 @@ def load_staging(spark: SparkSession, cfg: LoadConfig) -> tuple[DataFrame, DataF
         (STAGING_SONGS, read_songs(spark, cfg.song_data, **common)),
     )
     for table, rows in sources:
+        aside = []
         if cfg.on_bad_record == "quarantine":
             rows, bad = split_bad_records(rows)
-            target = bad_records_name(cfg.database)
-            bad.select(F.lit(table.name).alias("table_name"), "record").write.mode(
-                "append"
-            ).format("parquet").saveAsTable(target)
+            aside.append((bad, bad_records_name(cfg.database)))
+        if cfg.on_bad_value == "reject":
+            rows, bad = split_bad_values(rows)
+            aside.append((bad, bad_values_name(cfg.database)))
         append(rows, table.name, cfg.database, cfg.on_violation)
+        # After the append: if that fails, nothing of this load stays.
+        for bad, target in aside:
+            named = bad.select(F.lit(table.name).alias("table_name"), *bad.columns)
+            named.write.mode("append").format("parquet").saveAsTable(target)
     return staged(spark, cfg.database)
 
 
@@ -84,7 +112,7 @@ def insert_tables(
     """Append the star tables from the staging tables.
 
     The five loads do not depend on each other, so they are submitted together and share
-    the cluster. An error in any of them is raised once all have ended.
+    the cluster. Errors are raised, all of them, once all loads have ended.
     """
     star = build_star(*staged(spark, database), dedup)
     with ThreadPoolExecutor(max_workers=len(star)) as pool:
@@ -92,15 +120,27 @@ def insert_tables(
             pool.submit(append, rows, name, database, on_violation, ordered_keys)
             for name, rows in star.items()
         ]
-    for load in loads:
-        load.result()
+    errors = [e for e in (load.exception() for load in loads) if e is not None]
+    if len(errors) > 1:
+        raise ExceptionGroup("loads of several tables failed", errors)
+    if errors:
+        raise errors[0]
+
+
+def create_sized_tables(spark: SparkSession, cfg: LoadConfig) -> None:
+    """Drop and create the tables for the input of `cfg`."""
+    drop_tables(spark, cfg.database)
+    create_tables(spark, cfg.database, size_of(spark, cfg).buckets)
+
+
+def etl(spark: SparkSession, cfg: LoadConfig) -> None:
+    """Load the staging tables and fill the star tables, which have to be there."""
+    with shuffle_partitions(spark, size_of(spark, cfg).partitions):
+        load_staging(spark, cfg)
+        insert_tables(spark, cfg.database, cfg.on_violation, cfg.ordered_keys, cfg.dedup)
 
 
 def run(spark: SparkSession, cfg: LoadConfig) -> None:
     """Full refresh: drop, create, load the staging tables, fill the star tables."""
-    nbytes = source_bytes(spark.read.option("recursiveFileLookup", True).text(cfg.log_data))
-    size_shuffle(spark, nbytes)
-    drop_tables(spark, cfg.database)
-    create_tables(spark, cfg.database, cfg.buckets or bucket_count_for(nbytes))
-    load_staging(spark, cfg)
-    insert_tables(spark, cfg.database, cfg.on_violation, cfg.ordered_keys, cfg.dedup)
+    create_sized_tables(spark, cfg)
+    etl(spark, cfg)

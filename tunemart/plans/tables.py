@@ -9,7 +9,6 @@ from tunemart import scratch
 from tunemart.operators.constraints import enforce_not_null, split_violations
 from tunemart.plans.fact import keyed_song_plays
 from tunemart.schemas import DIM_SONG, FACT_SONGPLAY, STAGING, STAR, TABLES, Table
-from tunemart.session import MIN_BUCKETS
 
 
 def full_name(table: Table, database: str) -> str:
@@ -20,25 +19,34 @@ def reject_name(table: Table, database: str) -> str:
     return f"`{database}`.`{table.name}_rejects`"
 
 
+def bad_values_name(database: str) -> str:
+    return f"`{database}`.`staging_bad_values`"
+
+
 def bad_records_name(database: str) -> str:
     return f"`{database}`.`staging_bad_records`"
 
 
-def create_statement(table: Table, database: str, buckets: int) -> str:
+def create_statement(table: Table, database: str, buckets: int | None) -> str:
     """DDL of one table: placement key = buckets, sort key = order inside a bucket."""
     columns = ", ".join(
         f"`{c.name}` {c.type}{' NOT NULL' if c.not_null else ''}" for c in table.columns
     )
     layout = ""
-    if table.dist:
+    if table.dist and buckets:
         layout = f" CLUSTERED BY (`{table.dist}`) SORTED BY (`{table.sort}`) INTO {buckets} BUCKETS"
     return f"CREATE TABLE IF NOT EXISTS {full_name(table, database)} ({columns}) USING parquet{layout}"
 
 
 def create_tables(
-    spark: SparkSession, database: str = "default", buckets: int = MIN_BUCKETS
+    spark: SparkSession, database: str = "default", buckets: int | None = None
 ) -> None:
-    """Create the seven tables where missing; an existing table stays as it is."""
+    """Create the seven tables where missing; an existing table stays as it is.
+
+    Tables with a placement key get `buckets` buckets, a number that should follow the input
+    (`tunemart.session.bucket_count_for`). Without one they are plain files, which any number
+    of tasks can write and read.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for table in STAGING + STAR:
         spark.sql(create_statement(table, database, buckets))
@@ -50,6 +58,7 @@ def drop_tables(spark: SparkSession, database: str = "default") -> None:
         spark.sql(f"DROP TABLE IF EXISTS {full_name(table, database)}")
         spark.sql(f"DROP TABLE IF EXISTS {reject_name(table, database)}")
     spark.sql(f"DROP TABLE IF EXISTS {bad_records_name(database)}")
+    spark.sql(f"DROP TABLE IF EXISTS {bad_values_name(database)}")
 
 
 def truncate_table(spark: SparkSession, name: str, database: str = "default") -> None:
@@ -83,12 +92,17 @@ def _placed(df: DataFrame, table: Table, database: str) -> DataFrame:
     """Rows of a bucket together, rows of an unbucketed table sorted within each file.
 
     The rebalance lets adaptive execution split the bucket of a very frequent key over
-    several tasks and files, and merge small buckets into one task.
+    several tasks and files, and merge small buckets into one task. A table that only has a
+    sort key is dealt out by ranges of it, so that files do not overlap and a filter on the
+    key skips files.
     """
     if table.dist:
-        buckets = int(_details(df.sparkSession, table, database)["Num Buckets"])
-        return df.hint("rebalance", buckets, table.dist)
-    return df.sortWithinPartitions(table.sort) if table.sort else df
+        buckets = _details(df.sparkSession, table, database).get("Num Buckets")
+        spread = df.hint("rebalance", *([int(buckets)] if buckets else []), table.dist)
+        return spread if buckets else spread.sortWithinPartitions(table.sort)
+    if table.sort:
+        return df.repartitionByRange(table.sort).sortWithinPartitions(table.sort)
+    return df
 
 
 def append(
@@ -101,30 +115,20 @@ def append(
     """Append rows by column name, in one commit: a failing row leaves none of them behind.
 
     The identity column is assigned here if `df` does not bring it. A broken NOT NULL or
-    length limit raises; with "reject" such rows go to `<table>_rejects` instead.
+    length limit raises; with "reject" such rows go to `<table>_rejects` instead, after the
+    others are there, so that an append that fails leaves no rejects either.
     """
     spark, table = df.sparkSession, TABLES[name]
     with scratch.scope():
+        rejects = None
         if on_violation == "reject":
             df, rejects = split_violations(scratch.materialize(df, "candidates"), table)
-            rejects.write.mode("append").format("parquet").saveAsTable(reject_name(table, database))
         if table.identity and table.identity not in df.columns:
             df = keyed_song_plays(df, next_key(spark, database), ordered_keys)
         rows = enforce_not_null(_aligned(df, table), table)
         _placed(rows, table, database).write.insertInto(full_name(table, database))
-
-
-def bucket_sizes(spark: SparkSession, table: Table, database: str = "default") -> DataFrame:
-    """Rows per bucket that is not empty, from a scan of the placement key alone."""
-    buckets = int(_details(spark, table, database)["Num Buckets"])
-    bucket = F.pmod(F.hash(table.dist), F.lit(buckets)).alias("bucket")
-    return spark.table(full_name(table, database)).groupBy(bucket).count()
-
-
-def largest_bucket_share(spark: SparkSession, table: Table, database: str = "default") -> float:
-    """Rows of the fullest bucket over all rows."""
-    sizes = bucket_sizes(spark, table, database).agg(F.max("count"), F.sum("count")).first()
-    return sizes[0] / sizes[1] if sizes[1] else 0.0
+        if rejects is not None:
+            rejects.write.mode("append").format("parquet").saveAsTable(reject_name(table, database))
 
 
 def _read_buckets(spark: SparkSession, table: Table, database: str) -> DataFrame:
@@ -138,19 +142,16 @@ def _read_files(spark: SparkSession, table: Table, database: str) -> DataFrame:
 
 
 def join_song_dimension(
-    spark: SparkSession, database: str = "default", hot_factor: float = 2.0, hint: str | None = None
+    spark: SparkSession, database: str = "default", co_located: bool = False, hint: str | None = None
 ) -> DataFrame:
     """Plays with title, year and duration of their song.
 
-    Both tables are bucketed on the song, so a sort-merge join needs no exchange. That
-    reads a bucket in one task, hence if a bucket of plays exceeds the even share
-    `hot_factor` times, both tables are read as plain files instead: they are shuffled,
-    and adaptive execution splits the popular song's partition.
+    By default both tables are read as plain files and shuffled, and adaptive execution splits
+    the partition of a popular song. `co_located` joins bucket by bucket without an exchange,
+    a task for each bucket: for tables of equal buckets without a song that stands out.
     `hint` names a join strategy; None leaves it to Spark.
     """
-    buckets = int(_details(spark, FACT_SONGPLAY, database)["Num Buckets"])
-    hot = largest_bucket_share(spark, FACT_SONGPLAY, database) > hot_factor / buckets
-    read = _read_files if hot else _read_buckets
+    read = _read_buckets if co_located else _read_files
     plays = read(spark, FACT_SONGPLAY, database)
     songs = read(spark, DIM_SONG, database).drop("artist_id")
     return plays.join(songs.hint(hint) if hint else songs, "song_id")
