@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 from collections.abc import Callable
@@ -9,17 +10,34 @@ from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_texts
-from tunemart import scratch
+from tunemart import LoadConfig, scratch
 from tunemart.functions.coerce import EPOCH
 from tunemart.operators import constraints
 from tunemart.plans import dims, fact, pipeline, reports, tables
-from tunemart.schemas import DIM_ARTIST, DIM_SONG, DIM_TIME, DIM_USER, FACT_SONGPLAY, STAR
+from tunemart.schemas import (
+    DIM_ARTIST,
+    DIM_SONG,
+    DIM_TIME,
+    DIM_USER,
+    FACT_SONGPLAY,
+    STAGING_EVENTS,
+    STAGING_SONGS,
+    STAR,
+)
+from tunemart.session import bucket_count_for, input_bytes
 from tunemart.sources.adapter import staging_events, staging_songs
-from tunemart.sources.json_records import read_events, read_songs
+from tunemart.sources.json_records import (
+    default_paths,
+    read_events,
+    read_path_map,
+    read_songs,
+    split_bad_records,
+    split_bad_values,
+)
 
 try:
     from tunemart.llm.queries import ORACLE_SQL as LLM_SQL
@@ -61,32 +79,120 @@ def fact_join_no_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.matched_plays(*_staging(spark, sf_dir))
 
 
+def _log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as logs have them: all columns, epoch milliseconds, decimals with a fraction."""
+    fraction = F.when(F.col("length") < 0, F.lit("-0.93179")).otherwise(F.lit("0.93179"))
+    return staging_events(spark, sf_dir).withColumns(
+        {
+            "length": F.col("length") + fraction.cast("decimal(6,5)"),
+            "method": F.lit("PUT"),
+            "registration": F.lit(1540919166796.7),
+            "status": F.lit(200),
+            "log_year": F.year("ts"),
+            "log_month": F.month("ts"),
+            "ts": F.timestamp_diff("MILLISECOND", F.expr(EPOCH), F.col("ts")),
+            "userId": F.coalesce(F.col("userId").cast("string"), F.lit("")),
+        }
+    )
+
+
+def _write_path_map(spark: SparkSession, paths: list[str]) -> str:
+    """A path-map document, as one row of text."""
+    folder = scratch.new_folder(spark, "map")
+    document = spark.range(1).select(F.lit(json.dumps({"jsonpaths": paths})).alias("value"))
+    document.coalesce(1).write.text(folder)
+    return folder
+
+
 def load_events_jsonpaths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written as nested JSON logs, then loaded by path map.
+    """Events written as nested JSON logs, then loaded by a path-map document.
 
     The logs carry what the load must undo: user ids as text, blank for anonymous users,
     fractions, epoch milliseconds, no field where the value is NULL.
     """
     folder = scratch.new_folder(spark, "logs")
-    fraction = F.when(F.col("length") < 0, F.lit("-0.93179")).otherwise(F.lit("0.93179"))
-    (
-        staging_events(spark, sf_dir)
-        .withColumns(
-            {
-                "length": F.col("length") + fraction.cast("decimal(6,5)"),
-                "method": F.lit("PUT"),
-                "registration": F.lit(1540919166796.7),
-                "status": F.lit(200),
-                "log_year": F.year("ts"),
-                "log_month": F.month("ts"),
-                "ts": F.timestamp_diff("MILLISECOND", F.expr(EPOCH), F.col("ts")),
-                "userId": F.coalesce(F.col("userId").cast("string"), F.lit("")),
-            }
-        )
-        .write.partitionBy("log_year", "log_month")
-        .json(folder)
+    _log_rows(spark, sf_dir).write.partitionBy("log_year", "log_month").json(folder)
+    document = _write_path_map(spark, default_paths(STAGING_EVENTS))
+    return read_events(spark, folder, paths=read_path_map(spark, document))
+
+
+def load_events_nested_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose user and song are objects and lists inside the log record."""
+    folder = scratch.new_folder(spark, "logs")
+    nested = _log_rows(spark, sf_dir).select(
+        F.struct(F.col("userId").alias("id"), F.array("firstName", "lastName").alias("names"), "gender").alias("user"),
+        F.struct(F.col("song").alias("title"), F.array(F.struct(F.col("artist").alias("name"))).alias("by")).alias("play"),
+        *[c for c in STAGING_EVENTS.column_names if c not in NESTED],
+    )
+    nested.write.json(folder)
+    paths = [NESTED.get(c, f"$.{c}") for c in STAGING_EVENTS.column_names]
+    return read_events(spark, folder, paths=read_path_map(spark, _write_path_map(spark, paths)))
+
+
+# Where `load_events_nested_paths` puts columns.
+NESTED = {
+    "userId": "$.user.id",
+    "firstName": "$.user.names[0]",
+    "lastName": "$['user']['names'][1]",
+    "gender": "$.user.gender",
+    "song": "$.play.title",
+    "artist": "$.play.by[0].name",
+}
+
+
+def _spelled(number: Column, row: Column) -> Column:
+    """A whole number as JSON, in one of four ways; NULL as blank text or null."""
+    text = number.cast("string")
+    return (
+        F.when(number.isNull(), F.when(row % 2 == 0, F.lit('""')).otherwise(F.lit("null")))
+        .when((row % 4 == 0) | (number == 0), text)
+        .when(row % 4 == 1, F.concat(F.lit('"'), text, F.lit('"')))
+        .when(row % 4 == 2, F.concat(text, F.lit(".0")))
+        .otherwise(F.concat(text, F.lit("0e-1")))
     )
-    return read_events(spark, folder)
+
+
+def load_events_number_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and times of all events, whole numbers spelled in all ways that JSON has."""
+    folder, row = scratch.new_folder(spark, "logs"), F.xxhash64("lastName", "ts", "sessionId")
+    millis = F.timestamp_diff("MILLISECOND", F.expr(EPOCH), F.col("ts"))
+    fields = [
+        F.concat(F.lit(f'"{name}": '), _spelled(number, row))
+        for name, number in (("userId", F.col("userId")), ("ts", millis), ("sessionId", F.col("sessionId")))
+    ]
+    lines = staging_events(spark, sf_dir).select(F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}")))
+    lines.write.text(folder)
+    return read_events(spark, folder).select("userId", "ts", "sessionId")
+
+
+def load_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad values by column, of logs whose paid plays have too large, broken or no numbers."""
+    folder = scratch.new_folder(spark, "logs")
+    paid = F.col("level") == "paid"
+    bad = {
+        "userId": F.when(paid, F.concat("userId", F.lit("000000000"))).otherwise(F.col("userId").cast("string")),
+        "itemInSession": F.when(paid, F.concat("itemInSession", F.lit(".5"))).otherwise(F.col("itemInSession").cast("string")),
+        "length": F.when(F.col("auth") == "Logged Out", F.lit("1e30")).otherwise(F.col("length").cast("string")),
+        "ts": F.when(F.col("page") == "Home", F.lit("yesterday")),
+    }
+    staging_events(spark, sf_dir).withColumns(bad).write.json(folder)
+    values = split_bad_values(read_events(spark, folder, on_bad_value="reject"))[1]
+    return values.groupBy("column_name").agg(F.count("*").alias("n_values"), F.count_distinct("value").alias("n_different"))
+
+
+def load_events_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows and bad records of logs in which every play stands behind a broken line."""
+    folder = scratch.new_folder(spark, "logs")
+    events = staging_events(spark, sf_dir)
+    record = F.to_json(F.struct("artist", "song", "page", "sessionId", "userId"))
+    broken = F.when(F.col("page") == "NextSong", F.concat(record, F.lit(", null"))).otherwise(F.lit("[]"))
+    events.select(F.explode(F.array(record, broken))).write.text(folder)
+    good, bad = split_bad_records(read_events(spark, folder, on_bad_record="quarantine"))
+    counts = [
+        good.groupBy("page").agg(F.count("*").alias("n_rows"), F.sum("sessionId").alias("sessions")),
+        bad.agg(F.count("*").alias("n_rows")).select(F.lit("bad records").alias("page"), "n_rows", F.lit(None).cast("bigint").alias("sessions")),
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def load_songs_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,50 +214,78 @@ def load_songs_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NULLs that a load without its filters, or with gaps in the songs, would meet."""
+    """NULLs in each NOT NULL column of candidates in which each has some."""
     events, songs = _staging(spark, sf_dir)
-    known_year = F.when(F.col("year") != 0, F.col("year"))
-    located_name = F.when(F.col("artist_latitude").isNotNull(), F.col("artist_name"))
+    songs, events = (
+        df.withColumns({c: F.when(~F.expr(f"coalesce({gap}, false)"), F.col(c)) for c, gap in gaps.items()})
+        for df, gaps in ((songs, SONG_GAPS), (events, EVENT_GAPS))
+    )
     return constraints.not_null_violations(
         [
             (FACT_SONGPLAY, fact.matched_plays(events, songs, how="left")),
-            (DIM_SONG, songs.withColumn("year", known_year)),
-            (DIM_ARTIST, dims.dim_artist(songs).withColumn("artist_name", located_name)),
+            (DIM_SONG, songs),
+            (DIM_ARTIST, dims.dim_artist(songs)),
             (DIM_USER, dims.user_rows(events)),
             (DIM_TIME, events.select(F.col("ts").alias("start_time"))),
+            (STAGING_SONGS, songs),
         ]
     )
 
 
+# Rows that lose a column's value before the reports, as SQL.
+SONG_GAPS = {
+    "song_id": "year = 1963",
+    "title": "year = 1964",
+    "artist_id": "year = 1965",
+    "year": "artist_location IS NULL",
+    "duration": "artist_latitude IS NULL",
+    "artist_name": "year = 1966",
+}
+EVENT_GAPS = {
+    "ts": "itemInSession = 3",
+    "userId": "itemInSession = 4",
+    "sessionId": "itemInSession = 5",
+    "firstName": "itemInSession = 6",
+    "lastName": "itemInSession = 7",
+    "gender": "itemInSession = 8",
+    "level": "itemInSession = 9",
+}
+# Rows whose text is made longer than its column allows.
+SONG_EXTRA = {"song_id": "artist_location IS NULL", "artist_id": "year = 0"}
+EVENT_EXTRA = {"gender": "level = 'paid'"}
+
+
 def length_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Too long values after some ids and genders were lengthened."""
+    """Too long values in each column with a limit, after some were lengthened."""
     events, songs = _staging(spark, sf_dir)
-    longer = songs.withColumns(
-        {
-            "song_id": F.when(
-                F.col("artist_location").isNull(), F.concat("song_id", F.lit("-X"))
-            ).otherwise(F.col("song_id")),
-            "artist_id": F.when(
-                F.col("year") == 0, F.concat("artist_id", F.lit("-X"))
-            ).otherwise(F.col("artist_id")),
-        }
+    songs, events = (
+        df.withColumns({c: F.concat(c, F.when(F.expr(on), F.lit("-X")).otherwise(F.lit(""))) for c, on in columns.items()})
+        for df, columns in ((songs, SONG_EXTRA), (events, EVENT_EXTRA))
     )
-    wider = F.when(F.col("level") == "paid", F.concat("gender", F.lit("x"))).otherwise(F.col("gender"))
+    method = F.when(F.col("page") == "Home", F.lit("OPTIONS")).otherwise(F.lit("PUT"))
     return constraints.length_violations(
         [
-            (DIM_SONG, longer),
-            (DIM_ARTIST, dims.dim_artist(longer)),
-            (DIM_USER, dims.user_rows(events).withColumn("gender", wider)),
+            (STAGING_EVENTS, events.withColumn("method", method)),
+            (STAGING_SONGS, songs),
+            (FACT_SONGPLAY, fact.matched_plays(events, songs)),
+            (DIM_SONG, songs),
+            (DIM_ARTIST, dims.dim_artist(songs)),
+            (DIM_USER, dims.user_rows(events)),
         ]
     )
 
 
+def _fill_staging(spark: SparkSession, sf_dir: str, database: str) -> None:
+    nbytes = input_bytes(spark, *[f"{sf_dir}/{name}.parquet" for name in ("events", "part")])
+    tables.create_tables(spark, database, bucket_count_for(nbytes))
+    for name, rows in zip(("staging_events", "staging_songs"), _staging(spark, sf_dir)):
+        tables.append(rows, name, database)
+
+
 def _staged_database(spark: SparkSession, sf_dir: str) -> str:
     """A database of its own with both staging tables filled and the star tables empty."""
     database = scratch.new_database(spark)
-    tables.create_tables(spark, database)
-    for name, rows in zip(("staging_events", "staging_songs"), _staging(spark, sf_dir)):
-        tables.append(rows, name, database)
+    _fill_staging(spark, sf_dir, database)
     return database
 
 
@@ -161,50 +295,86 @@ def _load(spark: SparkSession, database: str, *names: str) -> None:
         tables.append(star[name], name, database)
 
 
+# One number for the contents of a star table besides its rows and keys: a sum over a column.
+CONTENTS = {
+    "factSongPlay": ("songplay_id", "session_id"),
+    "dimUser": ("user_id", "length(last_name)"),
+    "dimSong": ("song_id", "year"),
+    "dimArtist": ("artist_id", "length(artist_name)"),
+    "dimTime": ("start_time", "hour * 100 + weekday"),
+}
+
+
+def _contents(spark: SparkSession, database: str) -> DataFrame:
+    """Rows, different keys and a sum for each star table, and the range of the play keys."""
+    rows = [
+        spark.table(f"`{database}`.`{name}`").agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("n_rows"),
+            F.count_distinct(key).alias("n_keys"),
+            F.sum(F.expr(f"cast({number} AS bigint)")).alias("content"),
+            *[
+                (f(key) if name == "factSongPlay" else F.max(F.lit(None).cast("bigint"))).alias(alias)
+                for f, alias in ((F.min, "first_key"), (F.max, "last_key"))
+            ],
+        )
+        for name, (key, number) in CONTENTS.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts after the star tables were filled two times."""
+    """Contents after the star tables were filled two times."""
     database = _staged_database(spark, sf_dir)
     pipeline.insert_tables(spark, database)
     pipeline.insert_tables(spark, database)
-    counts = [
-        spark.table(f"`{database}`.`{table.name}`")
-        .agg(F.count("*").alias("n_rows"))
-        .select(F.lit(table.name).alias("table_name"), "n_rows")
-        for table in STAR
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return _contents(spark, database)
 
 
 def truncate_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of the song dimension as it is loaded, emptied, reloaded and refreshed."""
-    songs = scratch.materialize(dims.dim_song(staging_songs(spark, sf_dir)), "songs")
-    database = scratch.new_database(spark)
-    log = f"`{database}`.`counts`"
-    spark.sql(f"CREATE TABLE {log} (step STRING, n_rows BIGINT) USING parquet")
+    """Rows of every star table as it is loaded, emptied, reloaded, and dropped and loaded."""
+    database = _staged_database(spark, sf_dir)
+    log = scratch.new_folder(spark, "steps")
 
     def record(step: str) -> None:
-        target = spark.table(f"`{database}`.`dimSong`")
-        target.agg(F.count("*").alias("n")).select(F.lit(step), "n").write.insertInto(log)
+        rows = _contents(spark, database).select(F.lit(step).alias("step"), "table_name", "n_rows", "content")
+        rows.write.mode("append").parquet(log)
 
-    tables.create_tables(spark, database)
-    tables.append(songs, "dimSong", database)
+    pipeline.insert_tables(spark, database)
     record("loaded")
-    tables.truncate_table(spark, "dimSong", database)
+    for table in STAR:
+        tables.truncate_table(spark, table.name, database)
     record("truncated")
-    tables.append(songs, "dimSong", database)
+    pipeline.insert_tables(spark, database)
     record("reloaded")
     tables.drop_tables(spark, database)
-    tables.create_tables(spark, database)
-    tables.append(songs, "dimSong", database)
+    _fill_staging(spark, sf_dir, database)
+    pipeline.insert_tables(spark, database)
     record("refreshed")
-    return spark.table(log)
+    return spark.read.parquet(log)
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents after JSON logs and song files were loaded by a path map, two full refreshes."""
+    logs, songs = scratch.new_folder(spark, "logs"), scratch.new_folder(spark, "songs")
+    _log_rows(spark, sf_dir).write.partitionBy("log_year", "log_month").json(logs)
+    staging_songs(spark, sf_dir).withColumn("initial", F.substring("title", 1, 1)).write.partitionBy("initial").json(songs)
+    cfg = LoadConfig(
+        logs,
+        songs,
+        log_jsonpath=_write_path_map(spark, default_paths(STAGING_EVENTS)),
+        database=scratch.new_database(spark),
+    )
+    pipeline.run(spark, cfg)
+    pipeline.run(spark, cfg)
+    return _contents(spark, cfg.database)
 
 
 def bucketed_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plays with their song, both tables bucketed on the song id."""
     database = _staged_database(spark, sf_dir)
     _load(spark, database, "factSongPlay", "dimSong")
-    joined = tables.join_song_dimension(spark, database, hint="merge")
+    joined = tables.join_song_dimension(spark, database, co_located=True, hint="merge")
     return joined.select(
         "start_time", "user_id", "session_id", "song_id", "artist_id", "title", "year", "duration"
     )
@@ -242,11 +412,16 @@ def queries() -> dict[str, Query]:
         "song_duplicate_audit": _on_songs(lambda songs: reports.duplicate_audit(dims.dim_song(songs))),
         "staging_song_duplicate_audit": _on_songs(reports.duplicate_audit),
         "load_events_jsonpaths": load_events_jsonpaths,
+        "load_events_nested_paths": load_events_nested_paths,
+        "load_events_number_spellings": load_events_number_spellings,
+        "load_bad_values": load_bad_values,
+        "load_events_quarantine": load_events_quarantine,
         "load_songs_auto": load_songs_auto,
         "not_null_violations": not_null_violations,
         "length_violations": length_violations,
         "append_twice": append_twice,
         "truncate_reload": truncate_reload,
+        "pipeline_run": pipeline_run,
         "bucketed_star_join": bucketed_star_join,
         "star_adhoc": star_adhoc,
         **LLM_QUERIES,

@@ -22,6 +22,7 @@ ev1 AS (SELECT event_id, CASE WHEN is_play = 1 AND event_id % 41 <> 0 THEN conca
 staging_events AS (SELECT * FROM ev1 UNION ALL SELECT * FROM ev1 WHERE event_id % 50 = 0)
 """
 
+# The columns of the tables, here and below.
 PLAY_COLUMNS = """
 e.ts AS start_time, e.userId AS user_id, e.level AS level, s.song_id AS song_id,
 s.artist_id AS artist_id, e.sessionId AS session_id, e.location AS location, e.userAgent AS user_agent
@@ -80,21 +81,80 @@ def _length_report(table: str, source: str, columns: dict[str, tuple[str, int]])
     )
 
 
-def oracle_sql() -> dict[str, str]:
-    counts = [
-        ("factSongPlay", FACT),
-        ("dimUser", DIM_USER),
-        ("dimSong", DIM_SONG),
-        ("dimArtist", DIM_ARTIST),
-        ("dimTime", DIM_TIME),
+def _gaps(source: str, gaps: dict[str, str]) -> str:
+    """The rows of `source` without some values."""
+    columns = ", ".join(f"CASE WHEN NOT coalesce({gap}, false) THEN {c} END AS {c}" for c, gap in gaps.items())
+    return f"(SELECT * REPLACE ({columns}) FROM {source})"
+
+
+def _longer(source: str, extra: dict[str, str]) -> str:
+    """The rows of `source` with some texts lengthened."""
+    columns = ", ".join(
+        f"CASE WHEN {on} THEN {c} || '-X' ELSE {c} END AS {c}" for c, on in extra.items()
+    )
+    return f"(SELECT * REPLACE ({columns}) FROM {source})"
+
+
+SONG_GAPS = {
+    "song_id": "year = 1963",
+    "title": "year = 1964",
+    "artist_id": "year = 1965",
+    "year": "artist_location IS NULL",
+    "duration": "artist_latitude IS NULL",
+    "artist_name": "year = 1966",
+}
+EVENT_GAPS = {
+    "ts": "itemInSession = 3",
+    "userId": "itemInSession = 4",
+    "sessionId": "itemInSession = 5",
+    "firstName": "itemInSession = 6",
+    "lastName": "itemInSession = 7",
+    "gender": "itemInSession = 8",
+    "level": "itemInSession = 9",
+}
+
+
+def _contents(times: int, time: str = "start_time") -> str:
+    """What the star tables hold after they were filled so many times; `time` is the time's key."""
+    parts = [
+        ("factSongPlay", FACT, None, "session_id"),
+        ("dimUser", DIM_USER, "user_id", "length(last_name)"),
+        ("dimSong", DIM_SONG, "song_id", "year"),
+        ("dimArtist", DIM_ARTIST, "artist_id", "length(artist_name)"),
+        ("dimTime", DIM_TIME, time, "hour * 100 + weekday"),
     ]
-    long_id = "CASE WHEN artist_location IS NULL THEN concat(song_id, '-X') ELSE song_id END"
-    long_artist = "CASE WHEN year = 0 THEN concat(artist_id, '-X') ELSE artist_id END"
-    long_gender = "CASE WHEN level = 'paid' THEN concat(gender, 'x') ELSE gender END"
-    candidate_plays = """
-(SELECT e.*, s.song_id, s.artist_id FROM staging_events e LEFT JOIN staging_songs s
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {times} * count(*) AS n_rows,"
+        f" {f'count(DISTINCT {key})' if key else f'{times} * count(*)'} AS n_keys,"
+        f" cast({times} * sum({number}) AS bigint) AS content,"
+        f" cast({'NULL' if key else '0'} AS bigint) AS first_key,"
+        f" cast({'NULL' if key else f'{times} * count(*) - 1'} AS bigint) AS last_key FROM ({body})"
+        for name, body, key, number in parts
+    )
+
+
+def oracle_sql() -> dict[str, str]:
+    gapped_songs, gapped_events = _gaps("staging_songs", SONG_GAPS), _gaps("staging_events", EVENT_GAPS)
+    candidate_plays = f"""
+(SELECT e.*, s.song_id, s.artist_id FROM {gapped_events} e LEFT JOIN {gapped_songs} s
  ON e.song = s.title AND e.artist = s.artist_name WHERE e.page = 'NextSong')
 """
+    long_songs = _longer("staging_songs", {"song_id": "artist_location IS NULL", "artist_id": "year = 0"})
+    long_events = _longer(
+        "(SELECT *, CASE WHEN page = 'Home' THEN 'OPTIONS' ELSE 'PUT' END AS method FROM staging_events)",
+        {"gender": "level = 'paid'"},
+    )
+    long_plays = f"""
+(SELECT s.song_id, s.artist_id FROM staging_events e JOIN {long_songs} s
+ ON e.song = s.title AND e.artist = s.artist_name WHERE e.page = 'NextSong')
+"""
+    loaded_events = """
+SELECT artist, auth, firstName, gender, itemInSession, lastName, length, level, location,
+ 'PUT' AS method, page, cast(1540919166796 AS decimal(18,0)) AS registration, sessionId, song,
+ cast(200 AS int) AS status, date_trunc('milliseconds', ts) AS ts, userAgent, userId
+FROM staging_events
+"""
+    steps = [("loaded", 1), ("truncated", 0), ("reloaded", 1), ("refreshed", 1)]
     bodies = {
         "fact_songplay": FACT,
         "fact_songplay_keyed": f"""
@@ -106,7 +166,7 @@ SELECT row_number() OVER (ORDER BY start_time NULLS LAST, user_id NULLS LAST, se
         "dim_user": DIM_USER,
         "dim_song": DIM_SONG,
         "dim_song_ranked": f"""
-SELECT song_id, title, artist_id, year, duration, cast({SONG_RANK} AS int) AS song_id_ranked
+SELECT song_id, title, artist_id, year, duration, cast({SONG_RANK} AS bigint) AS song_id_ranked
 FROM staging_songs
 """,
         "dim_artist": DIM_ARTIST,
@@ -125,11 +185,22 @@ SELECT song_id, count(*) AS count FROM ({DIM_SONG}) GROUP BY song_id ORDER BY co
         "staging_song_duplicate_audit": """
 SELECT song_id, count(*) AS count FROM staging_songs GROUP BY song_id ORDER BY count, song_id
 """,
-        "load_events_jsonpaths": """
-SELECT artist, auth, firstName, gender, itemInSession, lastName, length, level, location,
- 'PUT' AS method, page, cast(1540919166796 AS decimal(18,0)) AS registration, sessionId, song,
- cast(200 AS int) AS status, date_trunc('milliseconds', ts) AS ts, userAgent, userId
-FROM staging_events
+        "load_events_jsonpaths": loaded_events,
+        "load_events_nested_paths": loaded_events,
+        "load_events_number_spellings": """
+SELECT userId, date_trunc('milliseconds', ts) AS ts, sessionId FROM staging_events
+""",
+        "load_bad_values": """
+SELECT 'userId' AS column_name, count(userId) AS n_values, count(DISTINCT userId) AS n_different
+FROM staging_events WHERE level = 'paid' AND userId > 2
+UNION ALL SELECT 'itemInSession', count(itemInSession), count(DISTINCT itemInSession)
+FROM staging_events WHERE level = 'paid'
+UNION ALL SELECT 'length', count(*), 1 FROM staging_events WHERE auth = 'Logged Out' HAVING count(*) > 0
+UNION ALL SELECT 'ts', count(*), 1 FROM staging_events WHERE page = 'Home' HAVING count(*) > 0
+""",
+        "load_events_quarantine": """
+SELECT page, count(*) AS n_rows, cast(sum(sessionId) AS bigint) AS sessions FROM staging_events GROUP BY page
+UNION ALL SELECT 'bad records', count(*), NULL FROM staging_events WHERE page = 'NextSong'
 """,
         "load_songs_auto": """
 SELECT artist_id, artist_latitude, artist_location, artist_longitude, artist_name, duration,
@@ -150,26 +221,17 @@ SELECT artist_id, artist_latitude, artist_location, artist_longitude, artist_nam
                 ),
                 _null_report(
                     "dimSong",
-                    "staging_songs",
-                    {
-                        "song_id": "song_id",
-                        "title": "title",
-                        "artist_id": "artist_id",
-                        "year": "nullif(year, 0)",
-                        "duration": "duration",
-                    },
+                    gapped_songs,
+                    {c: c for c in ("song_id", "title", "artist_id", "year", "duration")},
                 ),
                 _null_report(
                     "dimArtist",
-                    "staging_songs",
-                    {
-                        "artist_id": "artist_id",
-                        "artist_name": "CASE WHEN artist_latitude IS NOT NULL THEN artist_name END",
-                    },
+                    gapped_songs,
+                    {"artist_id": "artist_id", "artist_name": "artist_name"},
                 ),
                 _null_report(
                     "dimUser",
-                    "staging_events",
+                    gapped_events,
                     {
                         "user_id": "userId",
                         "first_name": "firstName",
@@ -178,30 +240,32 @@ SELECT artist_id, artist_latitude, artist_location, artist_longitude, artist_nam
                         "level": "level",
                     },
                 ),
-                _null_report("dimTime", "staging_events", {"start_time": "ts"}),
+                _null_report("dimTime", gapped_events, {"start_time": "ts"}),
+                _null_report("staging_songs", gapped_songs, {"song_id": "song_id"}),
             ]
         ),
         "length_violations": " UNION ALL ".join(
             [
-                _length_report(
-                    "dimSong",
-                    "staging_songs",
-                    {"song_id": (long_id, 18), "artist_id": (long_artist, 18)},
-                ),
-                _length_report("dimArtist", "staging_songs", {"artist_id": (long_artist, 18)}),
-                _length_report("dimUser", "staging_events", {"gender": (long_gender, 1)}),
+                _length_report("staging_events", long_events, {"gender": ("gender", 1), "method": ("method", 6)}),
+                *[
+                    _length_report(name, source, {c: (c, 18) for c in columns})
+                    for name, source, columns in (
+                        ("staging_songs", long_songs, ("song_id", "artist_id")),
+                        ("factSongPlay", long_plays, ("song_id", "artist_id")),
+                        ("dimSong", long_songs, ("song_id", "artist_id")),
+                        ("dimArtist", long_songs, ("artist_id",)),
+                    )
+                ],
+                _length_report("dimUser", long_events, {"gender": ("gender", 1)}),
             ]
         ),
-        "append_twice": " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, 2 * count(*) AS n_rows FROM ({body})"
-            for name, body in counts
+        "append_twice": _contents(2),
+        "pipeline_run": _contents(1, "date_trunc('milliseconds', start_time)"),
+        "truncate_reload": " UNION ALL ".join(
+            f"SELECT '{step}' AS step, table_name, {n} * n_rows AS n_rows,"
+            f" {'content' if n else 'cast(NULL AS bigint)'} AS content FROM ({_contents(1)})"
+            for step, n in steps
         ),
-        "truncate_reload": f"""
-SELECT 'loaded' AS step, count(*) AS n_rows FROM ({DIM_SONG})
-UNION ALL SELECT 'truncated', 0
-UNION ALL SELECT 'reloaded', count(*) FROM ({DIM_SONG})
-UNION ALL SELECT 'refreshed', count(*) FROM ({DIM_SONG})
-""",
         "bucketed_star_join": f"""
 SELECT f.start_time, f.user_id, f.session_id, f.song_id, f.artist_id, d.title, d.year, d.duration
 FROM ({FACT}) f JOIN ({DIM_SONG}) d ON f.song_id = d.song_id
