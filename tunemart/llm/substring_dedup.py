@@ -166,6 +166,8 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
             start += 1
         while start < end < len(text) and text[end - 1 : end].strip() and text[end : end + 1].strip():
             end -= 1
+        if 0 < start < end < len(text) and text[start - 1 : start].strip() and text[end : end + 1].strip():
+            end -= 1  # the white space before the next word
         kept.append(text[at:start])
         at = end
     return b"".join([*kept, text[at:]])
