@@ -31,7 +31,7 @@ def check_node(points, node):
 def test_tree_covers_and_traversal_loses_nothing():
     rng = np.random.default_rng(0)
     a, b = clusters(rng), clusters(rng, 300)
-    tree_a, tree_b = covertree.build(a, leaf=8), covertree.build(b, leaf=8)
+    tree_a, tree_b = (covertree.build(x, leaf=8, children=300) for x in (a, b))
     assert tree_a.children
     check_node(a, tree_a)
     for threshold in (0.5, 0.95, 0.999):
@@ -69,7 +69,7 @@ def test_all_pairs_and_odd_vectors(spark, options):
     rng = np.random.default_rng(1)
     vectors = clusters(rng, 230, 6).tolist()
     vectors += [vectors[0]] * 5 + [(3 * np.array(vectors[1])).tolist()]
-    vectors += [None, [], [0.0] * 6, [1.0, None, 0, 0, 0, 0], [float("nan")] * 6, [float("inf")] + [0.0] * 5]
+    vectors += [None, [], [0.0] * 6, [1.0, None, 0.0, 0.0, 0.0, 0.0], [float("nan")] * 6, [float("inf")] + [0.0] * 5]
     vectors += [[1e-200] * 6, [1e200] * 6, [1.0, 1.0], [2.0, 2.0], [1.0, -1.0]]
     ids = [*range(1000, 1000 + len(vectors))]
     ids[3], ids[5], ids[7] = None, None, 1000

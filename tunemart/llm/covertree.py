@@ -75,7 +75,13 @@ def cover(points: np.ndarray, rows: np.ndarray, radius: float, most: int) -> tup
     return centers, of
 
 
-def build(points: np.ndarray, rows: np.ndarray | None = None, scale: float = 2.0, leaf: int = LEAF) -> Node:
+def build(
+    points: np.ndarray,
+    rows: np.ndarray | None = None,
+    scale: float = 2.0,
+    leaf: int = LEAF,
+    children: int = CHILDREN,
+) -> Node:
     """The cover tree of some unit vectors: from level to level radii are halved.
 
     A node stays a leaf if it has few points, or if a cover of half its radius would take very
@@ -86,12 +92,12 @@ def build(points: np.ndarray, rows: np.ndarray | None = None, scale: float = 2.0
     scale = min(scale, node.radius)
     while len(rows) > leaf and scale > 1e-6:
         scale /= 2
-        found = cover(points, rows, scale, CHILDREN)
+        found = cover(points, rows, scale, children)
         if found is None:
             break
         centers, of = found
         if len(centers) > 1:
-            node.children = [build(points, rows[of == k], scale, leaf) for k in range(len(centers))]
+            node.children = [build(points, rows[of == k], scale, leaf, children) for k in range(len(centers))]
             break
     return node
 

@@ -126,5 +126,9 @@ def shard(df: DataFrame, key: str, n_bytes: Column, limit: int) -> DataFrame:
 
 
 def write_shards(df: DataFrame, key: str, n_bytes: Column, limit: int, path: str) -> None:
-    """One folder per shard, in Parquet; a task writes whole shards."""
-    shard(df, key, n_bytes, limit).repartition("shard").write.partitionBy("shard").parquet(path)
+    """One folder per shard, in Parquet; a task writes whole shards.
+
+    Folders are named `shard=b` and the bits, so that readers do not take the bits for a number.
+    """
+    named = shard(df, key, n_bytes, limit).withColumn("shard", F.concat(F.lit("b"), "shard"))
+    named.repartition("shard").write.partitionBy("shard").parquet(path)
