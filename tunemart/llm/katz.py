@@ -26,7 +26,6 @@ nothing to learn from, all probability is that of unknown words, 1; texts are ta
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +39,7 @@ from tunemart.llm.common import slices
 START, END = np.uint64(1), np.uint64(2)  # hashes of the marks before and after a text
 GOOD_TURING = 5  # largest count that is discounted
 SHARD_KEYS = 1 << 20  # hashes that a shard receives, about
-SLICE = 4 * 1024**2
+SLICE = 12 * 1024**2  # text in a block
 _STEP, _MIX = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -73,31 +72,32 @@ def mix(codes: np.ndarray) -> np.ndarray:
     return codes ^ (codes >> np.uint64(32))
 
 
-@lru_cache(maxsize=2)
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """_STEP to the 0th, 1st, ... and their inverses, modulo 2^64."""
-    inverse = np.uint64(pow(int(_STEP), -1, 1 << 64))
-    found = []
-    for base in (_STEP, inverse):
-        steps = np.full(size, base, np.uint64)
-        steps[:1] = 1
-        found.append(np.multiply.accumulate(steps))
-    return tuple(found)
+def powers(size: int) -> np.ndarray:
+    """_STEP to the 0th, 1st, ... modulo 2^64."""
+    steps = np.full(size, _STEP, np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of the bytes and the length of each word, from sums of bytes times powers."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sizes = stops - starts
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    letters = data[np.repeat(starts, sizes) + place].astype(np.uint64) + np.uint64(1)
+    letters *= powers(int(sizes.max()))[place]
+    return mix(np.add.reduceat(letters, np.cumsum(sizes) - sizes) + sizes.astype(np.uint64))
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each token of the texts, one text after the other, and tokens per text."""
-    joined = b"\n".join(texts) + b"\n"
-    data = _LOWER[np.frombuffer(joined, np.uint8)]
-    space = _SPACE[data]
-    edges = np.flatnonzero(np.diff(space, prepend=True))
+    data = _LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
+    edges = np.flatnonzero(np.diff(_SPACE[data], prepend=True))
     starts, stops = edges[0::2], edges[1::2]  # the last byte is white space
-    # Sums of bytes times powers: a word's, shifted back to its start, depends on the word only.
-    size = 1 << max(16, (len(data) - 1).bit_length())
-    power, inverse = powers(size)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    words = mix((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64))
+    step = 1 << 18  # words at a time
+    parts = [word_hashes(data, starts[k : k + step], stops[k : k + step]) for k in range(0, len(starts), step)]
+    words = np.concatenate([np.zeros(0, np.uint64), *parts])
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     counts = np.diff(np.searchsorted(starts, np.cumsum(lengths)), prepend=0)
     found = np.full(len(words) + len(texts), END)
@@ -278,14 +278,25 @@ class Unigrams:
         return np.where(counts > 0, known, self.unknown)
 
 
-def reduce_contexts(keys, at, blocks, values):
+def context_reducer(factor: np.ndarray) -> Callable:
     """Divisor and backoff weight by context; a divisor of zero says that it was never seen."""
-    total, mass, lower = (np.bincount(at, weights=v, minlength=len(keys)) for v in values)
-    # Where nothing was discounted, one more occurrence is left to what was not seen.
-    divisor = np.where(total - mass > 1e-9 * total, total, total + (total > 0))
-    left = 1 - mass / np.maximum(divisor, 1)
-    weight = np.where(total > 0, left / np.maximum(1 - lower, 1e-300), 1.0)
-    return [divisor, weight], [divisor[at], weight[at]]
+    r = np.arange(1, GOOD_TURING + 1)
+
+    def reduce(keys, at, blocks, values):
+        total, few, lower = values
+        few = few.reshape(-1, GOOD_TURING)
+        total = np.bincount(at, weights=total, minlength=len(keys))
+        # What discounts take from the pairs that were counted once, twice, ...
+        taken = np.bincount(at, weights=few @ ((1 - factor[1 : GOOD_TURING + 1]) * r), minlength=len(keys))
+        lower = np.bincount(at, weights=lower, minlength=len(keys))
+        # Where nothing was discounted, one more occurrence is left to what was not seen.
+        divisor = total + ((total > 0) & (taken <= 1e-9 * total))
+        left = (divisor - total + taken) / np.maximum(divisor, 1)
+        weight = np.where(total > 0, left / np.maximum(1 - lower, 1e-300), 1.0)
+        made = [divisor.astype(np.uint64), weight]
+        return made, [v[at] for v in made]
+
+    return reduce
 
 
 def _map_blocks(blocks: DataFrame, make: Callable[[Block], pa.RecordBatch]) -> DataFrame:
@@ -368,16 +379,21 @@ def scores(docs: DataFrame, train: Column) -> DataFrame:
         _, place, _ = block.pairs()
         place, counts = place[owned], counts[owned]
         first, second = block.before[place], block.ids[place]
-        sums = (counts, discounted(counts), lower[second])
-        values = [np.bincount(first, weights=v, minlength=len(block.keys)) for v in sums]
+        size = len(block.keys)
+        few = np.zeros((size, GOOD_TURING), np.uint32)
+        small = counts <= GOOD_TURING
+        np.add.at(few, (first[small], counts[small] - 1), 1)
+        total = np.bincount(first, weights=counts, minlength=size).astype(np.uint64)
+        values = [total, few, np.bincount(first, weights=lower[second], minlength=size)]
         return pa.Table.from_batches([shard_rows(block.block, block.keys, values, word_bits)])
 
     sent = _with_answers(blocks, [words, pairs], send_contexts, SENT)
-    contexts = shard_reduce(sent, [np.float64] * 3, reduce_contexts, "contexts")
+    contexts = shard_reduce(sent, [np.uint64, np.uint32, np.float64], context_reducer(factor), "contexts")
 
     def score(block: Block, answers: list) -> pa.Table:
         counts = _answer(answers[0], "a", np.int64)
-        divisor, weight = (_answer(answers[2], c, np.float64) for c in "ab")
+        divisor = _answer(answers[2], "a", np.uint64)
+        weight = _answer(answers[2], "b", np.float64)
         pair_counts = _answer(answers[1], "a", np.int64)
         _, place, of = block.pairs()
         first, second = block.before[place], block.ids[place]
