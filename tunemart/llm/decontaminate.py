@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,11 +51,12 @@ UNITS = frozenset(
 )
 _NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*(?:e[-+]?\d+)?[a-z%°]{0,3}")
 _OUTER = " \t\r\n.,;:!?\"'()[]{}<>«»“”‘’¿¡…*_`|-–—"
-_END = (".", "!", "?", ":", "\n")
+_END = (".", "!", "?", ":")
+BREAK = "\x00"
+_SPACED_BREAK = f" {BREAK} "
 
 
-@lru_cache(maxsize=100_000)
-def _plain(word: str) -> tuple[str, str, bool]:
+def describe(word: str) -> tuple[str, str, bool]:
     """Template and value of a word within a sentence, and whether it ends the sentence."""
     bare = word.strip(_OUTER) or word
     low = bare.lower()
@@ -65,48 +67,113 @@ def _plain(word: str) -> tuple[str, str, bool]:
     return kind, low, word.rstrip("\"')]»”’").endswith(_END)
 
 
-@lru_cache(maxsize=100_000)
-def _hash(template: str) -> int:
-    return xxhash.xxh64_intdigest(template, 7)
+def split(text: str | None) -> list[str]:
+    """Words, and BREAK for each end of a line."""
+    return (text or "").replace("\n", _SPACED_BREAK).split()
 
 
 def template(text: str | None) -> tuple[list[str], list[str]]:
     """Template and value of each word."""
     found, values = [], []
-    after_number = False
-    for line in (text or "").splitlines():
-        starts = True
-        for word in line.split():
-            kind, value, ends = _plain(word)
-            if after_number and (value in UNITS or word in UNITS):
-                kind = UNIT
-            elif starts and kind is NAME:
-                kind = value  # a capital says nothing here
-            found.append(kind)
-            values.append(value)
-            starts, after_number = ends, kind is NUMBER
+    starts, after_number = True, False
+    for word in split(text):
+        if word == BREAK:
+            starts = True
+            continue
+        kind, value, ends = describe(word)
+        if after_number and (value in UNITS or word in UNITS):
+            kind = UNIT
+        elif starts and kind is NAME:
+            kind = value  # a capital says nothing here
+        found.append(kind)
+        values.append(value)
+        starts, after_number = ends, kind is NUMBER
     return found, values
 
 
+def _hash(kind: str) -> int:
+    return xxhash.xxh64_intdigest(kind, 7)
+
+
+class Lexicon(dict):
+    """A number for each different word, and by number what `template` needs to know of it.
+
+    It forgets all words once it has many; numbers are valid until the next call of `learn`.
+    """
+
+    MOST = 300_000
+    COLUMNS = (np.uint64, np.uint64, bool, bool, bool, bool)
+
+    def __init__(self):
+        self.rows, self.arrays = [], None
+
+    def learn(self, words: list[str]) -> np.ndarray:
+        different = {*words}
+        new = different - self.keys()
+        if len(self) + len(new) > self.MOST:
+            self.clear()
+            self.rows, self.arrays, new = [], None, different
+        fresh = []
+        for word in new:
+            kind, value, ends = describe(word)
+            name, number = kind is NAME, kind is NUMBER
+            unit = value in UNITS or word in UNITS
+            within = _hash(kind)
+            self[word] = len(self)
+            fresh.append((within, _hash(value) if name else within, name, number, unit, ends))
+        if fresh:
+            made = [np.array(c, t) for c, t in zip(zip(*fresh), self.COLUMNS)]
+            self.arrays = made if self.arrays is None else list(map(np.concatenate, zip(self.arrays, made)))
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
+@lru_cache(maxsize=1)
+def lexicon() -> Lexicon:
+    """One for all tasks of a worker."""
+    return Lexicon()
+
+
 _PLACEHOLDERS = (NUMBER, NAME, UNIT)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def window_hashes(found: list[str], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, whether the window has enough literal words) at each place a window begins."""
-    n = len(found)
-    width = min(window, n)
-    if n < LEAST_WORDS:
+def template_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `template` for many texts at once, as hashes: those of the templates, whether a word
+    is literal, and the number of words of each text."""
+    cut = [split(t) for t in texts]
+    sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+    ids = lexicon().learn(list(chain.from_iterable(cut)) + [BREAK])
+    breaks = ids[:-1] == ids[-1]
+    text = np.repeat(np.arange(len(texts)), sizes)[~breaks]
+    ids = ids[:-1][~breaks]
+    counts = np.bincount(text, minlength=len(texts))
+    if not len(ids):
+        return np.zeros(0, np.uint64), np.zeros(0, bool), counts
+    within, first, name, number, unit, ends = (a[ids] for a in lexicon().arrays)
+    # How many breaks are in front of a word: more than before the last one, and a line begins.
+    lines = np.cumsum(breaks)[~breaks]
+    new_text = np.ones(len(ids), bool)
+    new_text[1:] = text[1:] != text[:-1]
+    starts = new_text.copy()
+    starts[1:] |= (lines[1:] != lines[:-1]) | ends[:-1]
+    units = np.zeros(len(ids), bool)
+    units[1:] = unit[1:] & number[:-1] & ~new_text[1:]
+    hashed = np.where(units, np.uint64(_hash(UNIT)), np.where(starts, first, within))
+    return hashed, ~(units | number | (name & ~starts)), counts
+
+
+def window_hashes(words: np.ndarray, literal: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, whether the window has enough literal words) at each place where a window begins."""
+    n = len(words) - width + 1
+    if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    words = np.fromiter(map(_hash, found), np.uint64, n)
-    literal = np.fromiter((t not in _PLACEHOLDERS for t in found), np.int64, n)
-    code = np.zeros(n - width + 1, np.uint64)
+    code = np.zeros(n, np.uint64)
     for k in range(width):
-        code = code * _STEP + words[k : n - width + 1 + k]
+        code = code * _STEP + words[k : n + k]
     code ^= code >> np.uint64(31)
     code *= _STEP
     total = np.concatenate([[0], np.cumsum(literal)])
-    return code, total[width:] - total[: n - width + 1] >= min(LITERALS, width)
+    return code, total[width:] - total[:n] >= min(LITERALS, width)
 
 
 def _to_long(codes: np.ndarray) -> np.ndarray:
@@ -122,8 +189,11 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
             rows = []
             for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
                 found, values = template(text)
-                codes, usable = window_hashes(found, window)
                 width = min(window, len(found))
+                if len(found) < LEAST_WORDS:
+                    continue
+                words, literal, _ = template_hashes([text])
+                codes, usable = window_hashes(words, literal, width)
                 places = np.flatnonzero(usable)
                 for p, code in zip(places.tolist(), _to_long(codes)[places].tolist()):
                     rows.append((item, p, len(places), width, code, found[p : p + width], values[p : p + width]))
@@ -158,17 +228,23 @@ def candidate_windows(docs: DataFrame, bits: np.ndarray, widths: list[int]) -> D
         known = shared.value
         for batch in slices(batches, "text"):
             rows = []
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text_id", "text"))
-            for doc, text_id, text in zip(*columns):
-                found, values = template(text)
-                for width in widths:
-                    if width > len(found):
-                        continue
-                    codes, usable = window_hashes(found, width)
-                    slot = (codes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                    hit = np.flatnonzero(usable & (known[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 > 0))
-                    for p, code in zip(hit.tolist(), _to_long(codes)[hit].tolist()):
-                        rows.append((doc, text_id, p, code, found[p : p + width], values[p : p + width]))
+            docs, marks, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text_id", "text"))
+            words, literal, counts = template_hashes(texts)
+            stops = np.cumsum(counts)
+            read = None, None, None
+            for width in widths:
+                codes, usable = window_hashes(words, literal, width)
+                slot = (codes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+                hit = np.flatnonzero(usable & (known[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 > 0))
+                text = np.searchsorted(stops, hit, "right")
+                whole = hit + width <= stops[text]
+                hit, text = hit[whole], text[whole]
+                places = hit - (stops - counts)[text]
+                for t, p, code in zip(text.tolist(), places.tolist(), _to_long(codes)[hit].tolist()):
+                    if read[0] != t:
+                        read = t, *template(texts[t])
+                    _, found, values = read
+                    rows.append((docs[t], marks[t], p, code, found[p : p + width], values[p : p + width]))
             columns = list(zip(*rows)) or [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
