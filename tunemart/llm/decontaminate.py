@@ -58,6 +58,9 @@ _SPACED_BREAK = f" {BREAK} "
 
 def describe(word: str) -> tuple[str, str, bool]:
     """Template and value of a word within a sentence, and whether it ends the sentence."""
+    if word.isalpha():  # most words, and no mark or digit to look for
+        low = word.lower()
+        return (NAME if word[0].isupper() and word[1:2].islower() else low), low, False
     bare = word.strip(_OUTER) or word
     low = bare.lower()
     if _NUMBER.fullmatch(low):
@@ -101,7 +104,7 @@ class Lexicon(dict):
     It forgets all words once it has many; numbers are valid until the next call of `learn`.
     """
 
-    MOST = 300_000
+    MOST = 800_000
     COLUMNS = (np.uint64, np.uint64, bool, bool, bool, bool)
 
     def __init__(self):

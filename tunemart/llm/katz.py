@@ -39,7 +39,7 @@ from tunemart.llm.common import slices
 START, END = np.uint64(1), np.uint64(2)  # hashes of the marks before and after a text
 GOOD_TURING = 5  # largest count that is discounted
 SHARD_KEYS = 1 << 20  # hashes that a shard receives, about
-SLICE = 12 * 1024**2  # text in a block
+SLICE = 9 * 1024**2  # text in a block
 _STEP, _MIX = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
