@@ -1,0 +1,163 @@
+"""Token alignment against whole texts, byte ranges and plain counting."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest import SF_DIR
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from tunemart.llm import alignment
+from tunemart.llm.bpe import byte_characters
+from tunemart.llm.queries import op11_token_alignment
+
+A_PATH, B_PATH = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def documents_of():
+    with open(A_PATH, encoding="utf-8") as a, open(B_PATH, "rb") as b:
+        return a.read(), b.read()
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(A_PATH)
+    a.encode_special_tokens = True
+    b = SentencePieceProcessor(model_file=B_PATH)
+    byte_of = {c: n for n, c in enumerate(byte_characters())}
+    a_bytes = {i: bytes(byte_of[c] for c in t) for t, i in a.get_vocab(with_added_tokens=False).items()}
+    pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
+    b_bytes = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+    return a, b, a_bytes, b_bytes
+
+
+def by_hand(rows, libraries):
+    """Whole texts through the libraries; links from byte ranges; counts from a list of all links."""
+    a, b, a_bytes, b_bytes = libraries
+    counts, found = Counter(), []
+    for key, text in rows:
+        links, groups, left, right = [], [], [], []
+        if text:
+            left, right = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+            whole = (" " + text).encode()
+            if not b"".join(a_bytes[i] for i in left) == b"".join(b_bytes[i] for i in right) == whole:
+                left, right = [], []
+        if left:
+            ends_a = np.cumsum([len(a_bytes[i]) for i in left])
+            ends_b = np.cumsum([len(b_bytes[i]) for i in right])
+            common = np.intersect1d(ends_a, ends_b)
+            sides = [([], []) for _ in common]
+            for side, ids, ends in ((0, left, ends_a), (1, right, ends_b)):
+                for i, g in zip(ids, np.searchsorted(common, ends)):
+                    sides[g][side].append(str(i))
+            groups = ["|".join(",".join(s) for s in g) for g in sides]
+            starts_a = ends_a - [len(a_bytes[i]) for i in left]
+            for i, start, end in zip(left, starts_a, ends_a):
+                first, last = np.searchsorted(ends_b, start, side="right"), np.searchsorted(ends_b, end)
+                links += [(i, right[j]) for j in range(first, last + 1)]
+        counts.update(links)
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if left else ""
+        found.append((key, len(left), len(right), len(groups), links, digest))
+    top = {}
+    for (_, y), n in counts.items():
+        top[y] = max(top.get(y, 0), n)
+    return [
+        (key, n_a, n_b, n_groups, len(links), sum(counts[x] == top[x[1]] for x in links), sum(counts[x] for x in links), digest)
+        for key, n_a, n_b, n_groups, links, digest in found
+    ]
+
+
+def plain(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+def test_whole_table(spark, libraries):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    assert plain(op11_token_alignment(spark, SF_DIR).select("doc_id", *COLUMNS).collect()) == plain(by_hand(rows, libraries))
+
+
+# Texts with all kinds of white space, marks of either tokenizer, and what one of them changes.
+SPECIAL = [
+    None,
+    "",
+    " ",
+    "   ",
+    "\n",
+    "\r\n",
+    "a\r\n  b \r c\r\r\n",
+    "x;\r\ny;\r",
+    "tab\tand\x0bmore\x0c\x1c\x1f\x85 end 　 .",
+    "a ▁ b",
+    "▁",
+    "<|endoftext|> and <s> </s> <unk> <0x41>",
+    "\x00nul\x00",
+    "日本語 のテキスト 𝔘𝔫𝔦 👩‍👩‍👧 é é",
+    "aaaa" * 500,
+    "don't we'll I'm it's 12345 3.14 x^2+y_1=z",
+    "copy of a text",
+    "copy of a text",
+]
+
+
+def test_special_texts(spark, documents_of, libraries):
+    rows = list(enumerate(SPECIAL)) + [(None, "without id"), (None, "without id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumnRenamed("doc_id", "key")
+    found = alignment.align(df.selectExpr("key", "text", "1 AS unit_", "2 AS total"), *documents_of, keep=("key",))
+    assert found.columns[0] == "key"
+    assert plain(found.select("key", *COLUMNS).collect()) == plain(by_hand(rows, libraries))
+
+
+def test_long_text_in_parts_and_units(spark, documents_of, libraries, monkeypatch):
+    rows = [(k, f"{' '.join(f'word{i * k}' for i in range(400))}.\n  Ende {k}\r\n") for k in range(6)]
+    known = alignment.Words(*documents_of)
+    unit = alignment.Unit(0)
+    monkeypatch.setattr(alignment, "STEP_CHARS", 300)
+    want = by_hand(rows, libraries)
+    for (_, text), expected in zip(rows, want):
+        parts = list(alignment._parts(known, " " + text))
+        assert len(parts) > 5 and "".join(w for p in parts for w in p) == " " + text
+        row = alignment._whole(known, unit, " " + text)
+        assert row[:5] == (*expected[1:5], expected[7])
+    places, pairs, n = unit.pairs()
+    assert n.sum() == sum(w[4] for w in want) and len({*pairs.tolist()}) == len(pairs) and sorted(places) == [*range(len(places))]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \t\n\r\x0b\x1c aB1;'.▁é日👩") | st.characters(exclude_categories=["Cs"]), max_size=40), max_size=6))
+def test_words_encode_like_whole_texts(documents_of, libraries, texts):
+    known = alignment.worker_words(*documents_of)
+    a, b, *_ = libraries
+    for text in filter(None, texts):
+        words = known.find.findall(" " + text)
+        assert "".join(words) == " " + text
+        numbers = known.numbers(words)
+        assert known.a.take(numbers)[0].tolist() == a.encode(" " + text, add_special_tokens=False).ids
+        assert known.b.take(numbers)[0].tolist() == b.encode(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 60), unique=True), st.lists(st.integers(1, 60), unique=True))
+def test_skipping_finds_all_groups_and_links(a, b):
+    a, b = sorted({*a, 61}), sorted({*b, 61})
+    group_i, group_j, link_i, link_j = alignment.skip_diagonals(a, b)
+    common = sorted({*a} & {*b})
+    assert [a[i - 1] for i in group_i] == common == [b[j - 1] for j in group_j]
+    starts_a, starts_b = [0, *a[:-1]], [0, *b[:-1]]
+    every = [(i, j) for i in range(len(a)) for j in range(len(b)) if max(starts_a[i], starts_b[j]) < min(a[i], b[j])]
+    assert list(zip(link_i.tolist(), link_j.tolist())) == every
+
+
+def test_empty_table_and_names(spark, documents_of):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert alignment.align(df, *documents_of).collect() == []
+    with pytest.raises(ValueError, match="n_links"):
+        alignment.align(df.withColumnRenamed("doc_id", "n_links"), *documents_of, keep=("n_links",))

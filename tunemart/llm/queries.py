@@ -8,7 +8,21 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import public_tokenizers
 from tunemart import scratch
-from tunemart.llm import bpe, covertree, decontaminate, katz, langid, sharding, simhash, substring_dedup, token_counts, warc
+from tunemart.llm import (
+    alignment,
+    bpe,
+    covertree,
+    decontaminate,
+    katz,
+    langid,
+    line_dedup,
+    sharding,
+    simhash,
+    substring_dedup,
+    threshold_kmeans,
+    token_counts,
+    warc,
+)
 from tunemart.llm.common import fold, table, text_key
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -133,6 +147,28 @@ def op10_cover_tree_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens that two tokenizers make of every document."""
+    a_document = vocabulary(public_tokenizers.path("byte_bpe_50k.json")).decode()
+    b_document = vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), a_document, b_document)
+
+
+def op12_threshold_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every usable embedding after three rounds from 16 centroids."""
+    found = threshold_kmeans.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64.0, seed="1")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that two others hold, but for the last that holds them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = line_dedup.LineIndex(spark, scratch.new_folder(spark, "lines"), min_docs=3, min_chars=20)
+    index.commit("all", added=docs)
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return index.deduplicate(docs).select("doc_id", "n_lines", "n_dropped", kept)
+
+
 QUERIES = {
     "op1_repeated_passages": op1_repeated_passages,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -144,6 +180,9 @@ QUERIES = {
     "op8_katz_scores": op8_katz_scores,
     "op9_template_leaks": op9_template_leaks,
     "op10_cover_tree_pairs": op10_cover_tree_pairs,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_threshold_clusters": op12_threshold_clusters,
+    "op13_line_index": op13_line_index,
     "pipeline": corpus_pipeline.run,
 }
 # Base 32 of a SHA-1: five hexadecimal digits are twenty bits, or four characters.
@@ -212,7 +251,64 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM parts LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
 """
 
+
+
+def _op12_sql(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    """Each round as a few expressions: nearest centroids, then floored means of components."""
+
+    def nearest(name: str, centroids: str) -> str:
+        return f"""{name} AS MATERIALIZED (
+  SELECT vec_id, x, min(struct_pack(d := list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), g := g)) AS m
+  FROM v, {centroids} GROUP BY ALL)"""
+
+    steps = [
+        f"""v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda e: cast(floor(64 * cast(e AS double)) AS bigint)) AS x
+  FROM embeddings WHERE len(embedding) = {dims}
+    AND list_bool_and(list_transform(embedding, lambda e: coalesce(isfinite(e), false))))""",
+        f"""c0 AS MATERIALIZED (
+  SELECT cast(row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS int) AS g, x AS c
+  FROM v ORDER BY sha256('1:' || vec_id) LIMIT {k})""",
+    ]
+    for r in range(1, rounds + 1):
+        steps.append(nearest(f"a{r}", f"c{r - 1}"))
+        steps.append(
+            f"""s{r} AS (
+  SELECT g, i, cast((sum(e) - ((sum(e) % count(*)) + count(*)) % count(*)) // count(*) AS bigint) AS mean
+  FROM (SELECT m.g AS g, unnest(x) AS e, unnest(range({dims})) AS i FROM a{r}) GROUP BY g, i)"""
+        )
+        steps.append(
+            f"""c{r} AS MATERIALIZED (
+  SELECT g, coalesce(means, c) AS c
+  FROM c{r - 1} LEFT JOIN (SELECT g, list(mean ORDER BY i) AS means FROM s{r} GROUP BY g) USING (g))"""
+        )
+    steps.append(nearest("last", f"c{rounds}"))
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, m.g AS cluster, cast(m.d AS bigint) AS distance,
+  cast(sum(m.d) OVER (PARTITION BY m.g) AS bigint) AS cluster_inertia, cast(sum(m.d) OVER () AS bigint) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM last JOIN c{rounds} ON m.g = g"""
+
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+OP13_SQL = f"""
+WITH lines AS (
+  SELECT doc_id, line, i,
+    translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+), repeated AS (
+  SELECT key, max(doc_id) AS last_id FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, cast(count(*) FILTER (doc_id <> last_id) AS bigint) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (last_id IS NULL OR doc_id = last_id), '')) AS kept_sha256
+FROM lines LEFT JOIN repeated USING (key) GROUP BY doc_id
+"""
+
 ORACLE_SQL = {
+    "op12_threshold_clusters": _op12_sql(),
+    "op13_line_index": OP13_SQL,
     "op10_cover_tree_pairs": OP10_SQL,
     "op3_warc_revisits": OP3_SQL,
     "op4_extendible_sharding": OP4_SQL,
