@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--multiline", action="store_true", help="records span lines")
     parser.add_argument("--ordered-keys", action="store_true", help="number plays reproducibly")
     parser.add_argument("--dedup", action="store_true", help="one row per artist and per time")
+    parser.add_argument("--load-id", help="name of the load; a repeated one is not loaded twice")
     args = parser.parse_args(argv)
     if not args.config and (args.step != "create-tables" or args.buckets is None):
         parser.error("--config is needed to load data, or to size the tables for it")

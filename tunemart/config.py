@@ -23,6 +23,7 @@ class LoadConfig:
     on_violation   "raise" | "reject": rows that break NOT NULL or a length limit
     dedup          one row per artist and per time instead of one per song and per event
     ordered_keys   number the plays in a reproducible order (costs one more shuffle)
+    load_id        name of the load: a repeated one does only what is not on record yet
     """
 
     log_data: str
@@ -38,6 +39,7 @@ class LoadConfig:
     on_violation: str = "raise"
     dedup: bool = False
     ordered_keys: bool = False
+    load_id: str | None = None
 
     def __post_init__(self) -> None:
         for field, allowed in (

@@ -1,4 +1,4 @@
-"""NOT NULL and length limits: enforced, reported, or split off."""
+"""NOT NULL and length limits: enforced, reported, or marked by row."""
 
 from __future__ import annotations
 
@@ -36,14 +36,32 @@ def enforce_not_null(df: DataFrame, table: Table) -> DataFrame:
     return df.withColumns(checked)
 
 
-def split_violations(df: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
-    """(rows that keep all constraints, rows that break one with a `reason`)."""
-    reasons = F.concat_ws(
-        "; ",
-        *[F.when(bad, F.lit(f"{column} {what}")) for column, what, bad in _checks(table, df.columns)],
+def enforced(table: Table, where: Column) -> dict[str, Column]:
+    """Columns that fail the job where a row of `where` breaks a limit; spaces beyond one are cut."""
+    found = {}
+    for c in {*table.required, *table.limited}:
+        value, limit = F.col(c), table.limited.get(c)
+        if c in table.required:
+            message = F.raise_error(F.lit(f"{table.name}.{c} must not be NULL"))
+            value = F.when(where & F.col(c).isNull(), message).otherwise(value)
+        if limit is not None:
+            message = F.raise_error(F.lit(f"EXCEED_LIMIT_LENGTH: {table.name}.{c} has more than {limit} characters"))
+            fitted = F.when(F.length(F.rtrim(c)) > limit, message).otherwise(F.substring(c, 1, limit))
+            value = F.when(where & (F.length(c) > limit), fitted).otherwise(value)
+        found[c] = value
+    return found
+
+
+def reasons(table: Table, columns: list[str]) -> Column:
+    """What a row breaks, '' if nothing."""
+    return F.concat_ws(
+        "; ", *[F.when(bad, F.lit(f"{column} {what}")) for column, what, bad in _checks(table, columns)]
     )
-    marked = df.withColumn("reason", reasons)
-    return marked.filter("reason = ''").drop("reason"), marked.filter("reason <> ''")
+
+
+def with_reason(df: DataFrame, table: Table) -> DataFrame:
+    """All rows with a `reason`, which is empty for those that keep all constraints."""
+    return df.withColumn("reason", reasons(table, df.columns))
 
 
 def _count_report(df: DataFrame, table: Table, flags: dict[str, Column]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 
 import pyarrow as pa
@@ -16,23 +17,30 @@ ROW_BITS = 33
 
 
 def number_rows(
-    df: DataFrame, name: str, order: list[str] | None = None, start: int = 0
+    df: DataFrame,
+    name: str,
+    order: list[str] | None = None,
+    start: int | Callable[[int], int] = 0,
+    where: str | None = None,
 ) -> DataFrame:
     """Add start, start+1, ... as column `name`.
 
     With `order`, columns that no two rows agree on, the numbers follow them (ascending,
     NULLs last) through a range sort. Without it rows are numbered where they are, which
-    saves the sort.
+    saves the sort. `start` may be a function that is told how many numbers are needed.
+    Rows for which `where`, a boolean column, is false get no number.
 
     The rows are written once with their partition and position: range bounds are sampled
     and a recomputation could cut the partitions elsewhere. Only one count per partition
     passes through the driver.
     """
     spark = df.sparkSession
-    placed = df
+    placed, first = df, [F.col(where).desc()] if where else []
     if order is not None:
         ordering = [F.col(c).asc_nulls_last() for c in order]
-        placed = df.repartitionByRange(*ordering).sortWithinPartitions(*ordering)
+        placed = df.repartitionByRange(*ordering).sortWithinPartitions(*first, *ordering)
+    elif first:
+        placed = df.sortWithinPartitions(*first)
     row_id = F.monotonically_increasing_id()
     placed = placed.withColumn("_row", row_id).select(
         *df.columns,
@@ -41,8 +49,10 @@ def number_rows(
     )
     written = scratch.materialize(placed, "numbered")
 
-    counts = sorted(written.groupBy("_part").count().collect())
-    before = list(accumulate((n for _, n in counts), initial=start))
+    numbered = written.filter(where) if where else written
+    counts = sorted(numbered.groupBy("_part").count().collect())
+    total = sum(n for _, n in counts)
+    before = list(accumulate((n for _, n in counts), initial=start(total) if callable(start) else start))
     offsets = spark.createDataFrame(
         pa.table(
             {
@@ -51,6 +61,9 @@ def number_rows(
             }
         )
     )
-    return written.join(F.broadcast(offsets), "_part").select(
-        (F.col("_offset") + F.col("_row")).cast(KEY_TYPE).alias(name), *df.columns
+    number = (F.col("_offset") + F.col("_row")).cast(KEY_TYPE)
+    if where:
+        number = F.when(F.col(where), number)
+    return written.join(F.broadcast(offsets), "_part", "left" if where else "inner").select(
+        number.alias(name), *df.columns
     )

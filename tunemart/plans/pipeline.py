@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunemart.config import LoadConfig
+from tunemart.plans import versions
 from tunemart.plans.dims import (
     dim_artist,
     dim_artist_dedup,
@@ -18,22 +19,24 @@ from tunemart.plans.dims import (
     dim_user,
 )
 from tunemart.plans.fact import song_plays
+from tunemart.plans.loads import Load
 from tunemart.plans.tables import (
+    add_to_load,
     append,
-    bad_records_name,
-    bad_values_name,
+    column_list,
     create_tables,
     drop_tables,
     full_name,
+    reject_columns,
+    write_part,
 )
-from tunemart.schemas import STAGING_EVENTS, STAGING_SONGS
+from tunemart.schemas import STAGING_EVENTS, STAGING_SONGS, Table
 from tunemart.session import bucket_count_for, input_bytes, partitions_for, shuffle_partitions
 from tunemart.sources.json_records import (
     read_events,
     read_path_map,
     read_songs,
-    split_bad_records,
-    split_bad_values,
+    verdicts,
 )
 
 
@@ -52,31 +55,52 @@ def size_of(spark: SparkSession, cfg: LoadConfig) -> Size:
     return Size(partitions_for(nbytes, cfg.max_partitions), buckets)
 
 
+def _parts(cfg: LoadConfig, table: Table) -> dict[str, tuple[str, str]]:
+    """Table and its columns for each verdict that a record may get."""
+    found = {"good": (table.name, column_list(table))}
+    if cfg.on_bad_record == "quarantine":
+        found["bad_record"] = ("staging_bad_records", "table_name STRING, record STRING")
+    if cfg.on_bad_value == "reject":
+        found["bad_value"] = ("staging_bad_values", "table_name STRING, column_name STRING, value STRING")
+    if cfg.on_violation == "reject":
+        found["violation"] = (f"{table.name}_rejects", reject_columns(table))
+    return found
+
+
+def _stage(spark: SparkSession, load: Load, cfg: LoadConfig, table: Table, rows: DataFrame) -> None:
+    """Parse and write one input once, parted by verdict; the parts become visible as they are."""
+    folder, parts = f"{load.folder}/{table.name}", _parts(cfg, table)
+    if len(parts) == 1:
+        write_part(rows, table, cfg.database, folder)
+        load.add(table.name, table.name, column_list(table))
+        load.count(table.name, "good", spark.read.schema(rows.schema).parquet(folder).count())
+        return
+    marked = verdicts(rows, table, reject="violation" in parts)
+    marked.write.partitionBy("verdict").parquet(folder)
+    records = spark.read.schema("nth INT, verdict STRING").parquet(folder).filter("nth = 0")
+    counts = dict(records.groupBy("verdict").count().collect())  # a row for each verdict
+    for verdict, (target, columns) in parts.items():
+        load.add(f"{table.name}/verdict={verdict}", target, columns)
+        load.count(table.name, verdict, counts.get(verdict, 0))
+
+
 def load_staging(spark: SparkSession, cfg: LoadConfig) -> tuple[DataFrame, DataFrame]:
-    """Append both data sets to the staging tables and return these."""
-    common = {
-        "on_bad_record": cfg.on_bad_record,
-        "on_bad_value": cfg.on_bad_value,
-        "multiline": cfg.multiline,
-    }
-    paths = read_path_map(spark, cfg.log_jsonpath) if cfg.log_jsonpath else None
-    sources = (
-        (STAGING_EVENTS, read_events(spark, cfg.log_data, paths=paths, **common)),
-        (STAGING_SONGS, read_songs(spark, cfg.song_data, **common)),
-    )
-    for table, rows in sources:
-        aside = []
-        if cfg.on_bad_record == "quarantine":
-            rows, bad = split_bad_records(rows)
-            aside.append((bad, bad_records_name(cfg.database)))
-        if cfg.on_bad_value == "reject":
-            rows, bad = split_bad_values(rows)
-            aside.append((bad, bad_values_name(cfg.database)))
-        append(rows, table.name, cfg.database, cfg.on_violation)
-        # After the append: if that fails, nothing of this load stays.
-        for bad, target in aside:
-            named = bad.select(F.lit(table.name).alias("table_name"), *bad.columns)
-            named.write.mode("append").format("parquet").saveAsTable(target)
+    """Append both data sets to the staging tables and return these.
+
+    Rows and what is set aside of both become visible by one marker. With `cfg.load_id` a load
+    that is on record already does nothing.
+    """
+    load = Load(spark, cfg.database, cfg.load_id and f"{cfg.load_id}.staging")
+    if load.begin():
+        common = {
+            "on_bad_record": cfg.on_bad_record,
+            "on_bad_value": cfg.on_bad_value,
+            "multiline": cfg.multiline,
+        }
+        paths = read_path_map(spark, cfg.log_jsonpath) if cfg.log_jsonpath else None
+        _stage(spark, load, cfg, STAGING_EVENTS, read_events(spark, cfg.log_data, paths=paths, **common))
+        _stage(spark, load, cfg, STAGING_SONGS, read_songs(spark, cfg.song_data, **common))
+        load.commit()
     return staged(spark, cfg.database)
 
 
@@ -108,23 +132,35 @@ def insert_tables(
     on_violation: str = "raise",
     ordered_keys: bool = False,
     dedup: bool = False,
+    load_id: str | None = None,
 ) -> None:
     """Append the star tables from the staging tables.
 
     The five loads do not depend on each other, so they are submitted together and share
-    the cluster. Errors are raised, all of them, once all loads have ended.
+    the cluster. Errors are raised, all of them, once all loads have ended. With a `load_id`
+    the five become visible by one marker, or not at all if one fails, and a load that is on
+    record already does nothing.
     """
+    load = Load(spark, database, load_id) if load_id is not None else None
+    if load is not None and not load.begin():
+        return
+
+    def fill(name: str, rows: DataFrame) -> None:
+        if load is None:
+            append(rows, name, database, on_violation, ordered_keys)
+        else:
+            add_to_load(load, rows, name, on_violation, ordered_keys)
+
     star = build_star(*staged(spark, database), dedup)
     with ThreadPoolExecutor(max_workers=len(star)) as pool:
-        loads = [
-            pool.submit(append, rows, name, database, on_violation, ordered_keys)
-            for name, rows in star.items()
-        ]
-    errors = [e for e in (load.exception() for load in loads) if e is not None]
+        loads = [pool.submit(fill, name, rows) for name, rows in star.items()]
+    errors = [e for e in (done.exception() for done in loads) if e is not None]
     if len(errors) > 1:
         raise ExceptionGroup("loads of several tables failed", errors)
     if errors:
         raise errors[0]
+    if load is not None:
+        load.commit()
 
 
 def create_sized_tables(spark: SparkSession, cfg: LoadConfig) -> None:
@@ -133,14 +169,25 @@ def create_sized_tables(spark: SparkSession, cfg: LoadConfig) -> None:
     create_tables(spark, cfg.database, size_of(spark, cfg).buckets)
 
 
-def etl(spark: SparkSession, cfg: LoadConfig) -> None:
-    """Load the staging tables and fill the star tables, which have to be there."""
-    with shuffle_partitions(spark, size_of(spark, cfg).partitions):
+def etl(spark: SparkSession, cfg: LoadConfig, size: Size | None = None) -> None:
+    """Load the staging tables and fill the star tables, which have to be there.
+
+    With `cfg.load_id` a load that failed or was cut off can be repeated: what is on record is
+    skipped, the rest is done.
+    """
+    with shuffle_partitions(spark, (size or size_of(spark, cfg)).partitions):
         load_staging(spark, cfg)
-        insert_tables(spark, cfg.database, cfg.on_violation, cfg.ordered_keys, cfg.dedup)
+        star_id = cfg.load_id and f"{cfg.load_id}.star"
+        insert_tables(spark, cfg.database, cfg.on_violation, cfg.ordered_keys, cfg.dedup, star_id)
 
 
 def run(spark: SparkSession, cfg: LoadConfig) -> None:
-    """Full refresh: drop, create, load the staging tables, fill the star tables."""
-    create_sized_tables(spark, cfg)
-    etl(spark, cfg)
+    """Full refresh: create, load and fill new tables beside the old ones, then switch to them.
+
+    If anything fails, the tables are left as they were; missing ones are created empty.
+    """
+    size = size_of(spark, cfg)
+    create_tables(spark, cfg.database, size.buckets)
+    with versions.new_version(spark, cfg.database) as beside:
+        create_tables(spark, beside, size.buckets)
+        etl(spark, replace(cfg, database=beside), size)

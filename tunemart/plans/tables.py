@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemart import scratch
-from tunemart.operators.constraints import enforce_not_null, split_violations
-from tunemart.plans.fact import keyed_song_plays
+from tunemart import scratch, shared_files
+from tunemart.operators.constraints import enforce_not_null, with_reason
+from tunemart.operators.keys import number_rows
+from tunemart.plans import versions
+from tunemart.plans.fact import PLAY_ORDER
+from tunemart.plans.loads import READ_FOLDERS, Load, forget_keys, home, reserved_keys
 from tunemart.schemas import DIM_SONG, FACT_SONGPLAY, STAGING, STAR, TABLES, Table
 
 
@@ -27,15 +32,21 @@ def bad_records_name(database: str) -> str:
     return f"`{database}`.`staging_bad_records`"
 
 
-def create_statement(table: Table, database: str, buckets: int | None) -> str:
+def column_list(table: Table) -> str:
+    return ", ".join(f"`{c.name}` {c.type}{' NOT NULL' if c.not_null else ''}" for c in table.columns)
+
+
+def reject_columns(table: Table) -> str:
+    kept = [c for c in table.columns if c.name != table.identity]
+    return ", ".join(f"`{c.name}` {c.value_type}" for c in kept) + ", reason STRING"
+
+
+def create_statement(table: Table, name: str, buckets: int | None) -> str:
     """DDL of one table: placement key = buckets, sort key = order inside a bucket."""
-    columns = ", ".join(
-        f"`{c.name}` {c.type}{' NOT NULL' if c.not_null else ''}" for c in table.columns
-    )
     layout = ""
     if table.dist and buckets:
         layout = f" CLUSTERED BY (`{table.dist}`) SORTED BY (`{table.sort}`) INTO {buckets} BUCKETS"
-    return f"CREATE TABLE IF NOT EXISTS {full_name(table, database)} ({columns}) USING parquet{layout}"
+    return f"CREATE TABLE IF NOT EXISTS {name} ({column_list(table)}) USING parquet {READ_FOLDERS}{layout}"
 
 
 def create_tables(
@@ -49,25 +60,30 @@ def create_tables(
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for table in STAGING + STAR:
-        spark.sql(create_statement(table, database, buckets))
+        spark.sql(create_statement(table, full_name(table, database), buckets))
 
 
 def drop_tables(spark: SparkSession, database: str = "default") -> None:
-    """Drop the seven tables, and what earlier loads set aside, where present."""
+    """Drop the seven tables, what earlier loads set aside, and the record of loads, where present."""
     for table in STAGING + STAR:
         spark.sql(f"DROP TABLE IF EXISTS {full_name(table, database)}")
         spark.sql(f"DROP TABLE IF EXISTS {reject_name(table, database)}")
     spark.sql(f"DROP TABLE IF EXISTS {bad_records_name(database)}")
     spark.sql(f"DROP TABLE IF EXISTS {bad_values_name(database)}")
+    if spark.catalog.databaseExists(database):
+        shared_files.delete(spark, home(spark, database))
+        versions.forget(spark, database)
 
 
 def truncate_table(spark: SparkSession, name: str, database: str = "default") -> None:
-    """Remove all rows, keep the table."""
+    """Remove all rows, keep the table. Loads stay on record, so that a repeated one is skipped."""
     spark.sql(f"TRUNCATE TABLE {full_name(TABLES[name], database)}")
+    if TABLES[name].identity:
+        forget_keys(spark, database)
 
 
-def _details(spark: SparkSession, table: Table, database: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name(table, database)}").collect()
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     return {r.col_name: r.data_type for r in rows}
 
 
@@ -88,7 +104,7 @@ def _aligned(df: DataFrame, table: Table) -> DataFrame:
     )
 
 
-def _placed(df: DataFrame, table: Table, database: str) -> DataFrame:
+def _placed(df: DataFrame, table: Table, buckets: str | None) -> DataFrame:
     """Rows of a bucket together, rows of an unbucketed table sorted within each file.
 
     The rebalance lets adaptive execution split the bucket of a very frequent key over
@@ -97,7 +113,6 @@ def _placed(df: DataFrame, table: Table, database: str) -> DataFrame:
     key skips files.
     """
     if table.dist:
-        buckets = _details(df.sparkSession, table, database).get("Num Buckets")
         spread = df.hint("rebalance", *([int(buckets)] if buckets else []), table.dist)
         return spread if buckets else spread.sortWithinPartitions(table.sort)
     if table.sort:
@@ -105,30 +120,99 @@ def _placed(df: DataFrame, table: Table, database: str) -> DataFrame:
     return df
 
 
+def _with_key(df: DataFrame, table: Table, ordered: bool, start) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with the identity column, and those that break a constraint if `df` has reasons.
+
+    One written result serves both: it holds every row with its place and its reason.
+    """
+    order = PLAY_ORDER if ordered else None
+    if "reason" not in df.columns:
+        return number_rows(df, table.identity, order, start), None
+    marked = df.withColumn("_good", F.col("reason") == "")
+    numbered = number_rows(marked, table.identity, order, start, where="_good")
+    return numbered.filter("_good").drop("_good", "reason"), numbered.filter("NOT _good").drop("_good")
+
+
+def _rows_and_rejects(
+    df: DataFrame, table: Table, on_violation: str, ordered: bool, start
+) -> tuple[DataFrame, DataFrame | None]:
+    """What is to be written into the table and beside it; written to scratch once where needed."""
+    rejects, reject = None, on_violation == "reject"
+    marked = with_reason(df, table) if reject else df
+    if table.identity and table.identity not in df.columns:
+        rows, rejects = _with_key(marked, table, ordered, start)
+    elif reject:
+        marked = scratch.materialize(marked, "candidates")
+        rows, rejects = marked.filter("reason = ''").drop("reason"), marked.filter("reason <> ''")
+    else:
+        rows = df
+    return enforce_not_null(_aligned(rows, table), table), rejects
+
+
+def write_part(df: DataFrame, table: Table, database: str, folder: str) -> None:
+    """Write rows into a folder in the layout of a table, as an insert into it would."""
+    spark = df.sparkSession
+    buckets = _details(spark, full_name(table, database)).get("Num Buckets")
+    trial = f"`{database}`.`load_{uuid.uuid4().hex}`"
+    spark.sql(f"{create_statement(table, trial, buckets and int(buckets))} LOCATION '{folder}'")
+    try:
+        _placed(df, table, buckets).write.insertInto(trial)
+    finally:
+        spark.sql(f"DROP TABLE {trial}")  # its files stay
+
+
+def add_to_load(
+    load: Load, df: DataFrame, name: str, on_violation: str = "raise", ordered_keys: bool = False
+) -> None:
+    """Write rows of a table, and its rejects, into a load, which makes them visible later."""
+    spark, database, table = df.sparkSession, load.database, TABLES[name]
+    with scratch.scope(), _keys(spark, database, f"{load.load_id}.{name}") as start:
+        rows, rejects = _rows_and_rejects(df, table, on_violation, ordered_keys, start)
+        write_part(rows, table, database, f"{load.folder}/{name}")
+        if rejects is not None:
+            target = f"{load.folder}/{name}_rejects"
+            known = [c.name for c in table.columns if c.name != table.identity]
+            rejects.select(*[c for c in rejects.columns if c in {*known, "reason"}]).write.parquet(target)
+    load.add(name, name, column_list(table))
+    if rejects is not None:
+        load.add(f"{name}_rejects", f"{name}_rejects", reject_columns(table))
+
+
+def _keys(spark: SparkSession, database: str, owner: str | None = None):
+    return reserved_keys(spark, database, lambda: next_key(spark, database), owner)
+
+
 def append(
     df: DataFrame,
     name: str,
     database: str = "default",
     on_violation: str = "raise",
     ordered_keys: bool = False,
+    load_id: str | None = None,
 ) -> None:
     """Append rows by column name, in one commit: a failing row leaves none of them behind.
 
     The identity column is assigned here if `df` does not bring it. A broken NOT NULL or
     length limit raises; with "reject" such rows go to `<table>_rejects` instead, after the
     others are there, so that an append that fails leaves no rejects either.
+
+    With a `load_id` rows and rejects become visible by one marker, and an append with an id
+    that is on record already does nothing (see `tunemart.plans.loads`).
     """
     spark, table = df.sparkSession, TABLES[name]
-    with scratch.scope():
-        rejects = None
-        if on_violation == "reject":
-            df, rejects = split_violations(scratch.materialize(df, "candidates"), table)
-        if table.identity and table.identity not in df.columns:
-            df = keyed_song_plays(df, next_key(spark, database), ordered_keys)
-        rows = enforce_not_null(_aligned(df, table), table)
-        _placed(rows, table, database).write.insertInto(full_name(table, database))
+    if load_id is not None:
+        load = Load(spark, database, load_id)
+        if load.begin():
+            add_to_load(load, df, name, on_violation, ordered_keys)
+            load.commit()
+        return
+    target = full_name(table, database)
+    with scratch.scope(), _keys(spark, database) as start:
+        rows, rejects = _rows_and_rejects(df, table, on_violation, ordered_keys, start)
+        _placed(rows, table, _details(spark, target).get("Num Buckets")).write.insertInto(target)
         if rejects is not None:
-            rejects.write.mode("append").format("parquet").saveAsTable(reject_name(table, database))
+            kept = rejects.drop(*{table.identity or "reason"} - {"reason"})
+            kept.write.mode("append").format("parquet").saveAsTable(reject_name(table, database))
 
 
 def _read_buckets(spark: SparkSession, table: Table, database: str) -> DataFrame:
@@ -138,7 +222,9 @@ def _read_buckets(spark: SparkSession, table: Table, database: str) -> DataFrame
 def _read_files(spark: SparkSession, table: Table, database: str) -> DataFrame:
     """The same rows without the bucketing, so that one bucket may be read by many tasks."""
     rows = _read_buckets(spark, table, database)
-    return spark.read.schema(rows.schema).parquet(_details(spark, table, database)["Location"])
+    return spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(
+        _details(spark, full_name(table, database))["Location"]
+    )
 
 
 def join_song_dimension(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunemart.functions.coerce import BAD_VALUES, coerce
+from tunemart.operators.constraints import enforced, reasons
 from tunemart.schemas import STAGING_EVENTS, STAGING_SONGS, Table
 
 CORRUPT = "_corrupt_record"
@@ -143,6 +144,46 @@ def split_bad_values(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def verdicts(rows: DataFrame, table: Table, reject: bool = False) -> DataFrame:
+    """All that a read gave, each record marked with its `verdict`, for a write that parts them.
+
+    A record is "good", a "bad_record" (its text in `record`), a "bad_value" (a row for each,
+    in `column_name` and `value`, numbered by `nth`), or with `reject` a "violation" of the
+    table's constraints (with a `reason`); without it a violation fails the job.
+    """
+    corrupt = F.col(CORRUPT) if CORRUPT in rows.columns else F.lit(None).cast("string")
+    entry = "array<struct<column_name string, value string>>"
+    bad = F.col(BAD_VALUES).cast(entry) if BAD_VALUES in rows.columns else F.lit(None).cast(entry)
+    broken = corrupt.isNotNull()
+    reason = F.when(~broken, reasons(table, table.column_names)) if reject else F.lit("")
+    verdict = (
+        F.when(broken, F.lit("bad_record"))
+        .when(F.coalesce(F.size(bad) > 0, F.lit(False)), F.lit("bad_value"))
+        .when(reason != "", F.lit("violation"))
+        .otherwise(F.lit("good"))
+    )
+    marked = rows.select(
+        *table.column_names,
+        F.lit(table.name).alias("table_name"),
+        corrupt.alias("record"),
+        reason.alias("reason"),
+        verdict.alias("verdict"),
+        F.when(verdict == "bad_value", bad).alias("bad"),
+    )
+    checked = marked.withColumns(enforced(table, F.col("verdict") == "good"))
+    parted = checked.select("*", F.posexplode_outer("bad").alias("nth", "entry"))
+    return parted.select(
+        *table.column_names,
+        "table_name",
+        "record",
+        "entry.column_name",
+        "entry.value",
+        F.coalesce("nth", F.lit(0)).alias("nth"),
+        "reason",
+        "verdict",
+    )
+
+
 def read_events(spark: SparkSession, location: str | list[str], **options) -> DataFrame:
     """Activity log records by path map."""
     return read_records(spark, location, STAGING_EVENTS, **options)
