@@ -266,6 +266,18 @@ SELECT artist_id, artist_latitude, artist_location, artist_longitude, artist_nam
             f" {'content' if n else 'cast(NULL AS bigint)'} AS content FROM ({_contents(1)})"
             for step, n in steps
         ),
+        "load_retry": _contents(1, "date_trunc('milliseconds', start_time)"),
+        "refresh_failure": _contents(1, "date_trunc('milliseconds', start_time)"),
+        "load_verdicts": """
+SELECT v.verdict, count(e.verdict) AS n_records, v.times * count(e.verdict) AS n_rows
+FROM (VALUES ('good', 1), ('bad_record', 1), ('bad_value', 2), ('violation', 1)) v(verdict, times)
+LEFT JOIN (
+ SELECT CASE WHEN auth = 'Logged Out' THEN 'bad_value' WHEN page = 'Home' THEN 'violation' ELSE 'good' END
+  AS verdict FROM staging_events
+ UNION ALL SELECT 'bad_record' FROM staging_events WHERE page = 'NextSong'
+) e ON e.verdict = v.verdict GROUP BY v.verdict, v.times
+""",
+        "concurrent_appends": f"SELECT * FROM ({_contents(4)}) WHERE table_name = 'factSongPlay'",
         "bucketed_star_join": f"""
 SELECT f.start_time, f.user_id, f.session_id, f.song_id, f.artist_id, d.title, d.year, d.duration
 FROM ({FACT}) f JOIN ({DIM_SONG}) d ON f.song_id = d.song_id

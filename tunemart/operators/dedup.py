@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tunemart.scratch import materialize
+from tunemart.scratch import materialize_dealt
 
 
 def keep_first(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -27,65 +21,34 @@ def keep_first(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 def rank_within(df: DataFrame, key: str, order: list[str], rank: str) -> DataFrame:
     """All rows with their position within the key, ordered by `order`, NULLs last.
 
-    Every row survives, so that a window would bring a whole key into one task. Here rows are
-    sorted by key, order and a number of their own over all partitions, in which a key may
-    spread, and are written with their position among the rows of their key in the partition.
-    Only a key that began in an earlier partition needs more: what came of it before, which is
-    one number per partition.
+    Every row survives, so that a window over the key would bring a whole key into one task. Here
+    rows are sorted by key, order and a number of their own over all partitions, in which a key
+    may spread, and are written with their partition and position, dealt out by partition. Rows
+    are then counted within key and partition, which moves none of them. Only a key that began in
+    an earlier partition needs more: what came of it before, one number per partition.
     """
+    spark = df.sparkSession
     sorting = [F.col(c).asc_nulls_last() for c in (key, *order, "_copy")]
     placed = (
         df.withColumn("_copy", F.monotonically_increasing_id())
         .repartitionByRange(*sorting)
         .sortWithinPartitions(*sorting)
-        .select(*df.columns, F.spark_partition_id().alias("_part"))
-    )
-    schema = T.StructType(
-        placed.schema.fields + [T.StructField("_rank", T.LongType()), T.StructField("_leads", T.BooleanType())]
+        .select(*df.columns, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row"))
     )
-    ranked = materialize(placed.mapInArrow(_rank_in_partition(df.columns.index(key)), schema), "ranked")
-    ends = ranked.groupBy("_part").agg(
-        F.count_if("_leads").alias("leading"),
-        F.count("*").alias("n"),
-        F.min(F.struct(F.col(key).isNull(), key)).alias("first"),
-        F.max(F.struct(F.col(key).isNull(), key)).alias("last"),
-        F.max(F.struct(F.col(key).isNull(), key, "_rank")).alias("end"),
+    written = materialize_dealt(placed, "_part", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    runs = written.groupBy("_part", key).agg(F.count("*").alias("n"))
+    place = (F.col(key).isNull(), F.col(key))
+    ends = runs.groupBy("_part").agg(
+        F.min(F.struct(*place)).alias("first"), F.max(F.struct(*place)).alias("last"), F.max(F.struct(*place, "n")).alias("end")
     )
     carry, before, last = [], 0, None
     for part in sorted(ends.collect(), key=lambda r: r["_part"]):  # one row per partition
         carried = before if part["first"] == last else 0
-        carry.append((part["_part"], carried))
-        one_key = part["leading"] == part["n"]
-        before = part["end"]["_rank"] + (carried if one_key else 0)
+        carry.append((part["_part"], part["first"][1], carried))
+        before = part["end"]["n"] + (carried if part["first"] == part["last"] else 0)
         last = part["last"]
-    carries = F.broadcast(df.sparkSession.createDataFrame(carry, "_part int, _carry long"))
-    position = F.col("_rank") + F.when(F.col("_leads"), F.col("_carry")).otherwise(F.lit(0))
-    return ranked.join(carries, "_part").select(*df.columns, position.alias(rank))
-
-
-def _rank_in_partition(key: int):
-    """Positions within runs of equal keys, and whether a row is of the partition's first run."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, so_far, leads = None, 0, True
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            runs = pc.run_end_encode(batch.column(key), run_end_type=pa.int64())
-            ends = runs.run_ends.to_numpy()
-            starts = np.concatenate([[0], ends[:-1]])
-            goes_on = last is not None and runs.values[0].equals(last)
-            begins = starts.copy()
-            begins[0] -= so_far if goes_on else 0
-            ranks = np.arange(batch.num_rows) - np.repeat(begins, ends - starts) + 1
-            leading = np.zeros(batch.num_rows, bool)
-            if leads and (last is None or goes_on):
-                leading[: ends[0]] = True
-            leads = leads and len(ends) == 1 and bool(leading[0])
-            last, so_far = runs.values[-1], int(ranks[-1])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ranks), pa.array(leading)],
-                names=[*batch.schema.names, "_rank", "_leads"],
-            )
-
-    return run
+    carries = spark.createDataFrame(carry, f"_part int, _first {df.schema[key].dataType.simpleString()}, _carry long")
+    within = F.row_number().over(Window.partitionBy("_part", key).orderBy("_row"))
+    began = F.when(F.col(key).eqNullSafe(F.col("_first")), F.col("_carry")).otherwise(F.lit(0))
+    ranked = written.withColumn("_within", within).join(F.broadcast(carries), "_part")
+    return ranked.select(*df.columns, (F.col("_within") + began).alias(rank))

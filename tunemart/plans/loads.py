@@ -3,27 +3,32 @@
 The folder `_loads` of a database holds, for each load, what it wrote, and the marker `_COMMITTED`
 once all of it is written. Without the marker nothing of a load can be seen and a new attempt
 starts over; with it the load counts, and what it wrote is moved into its tables, a folder for
-each, by this load or, if that was cut off, by whoever calls `recover`. A load whose id has a
-marker is skipped.
+each, by this load or, if that was cut off, by whoever calls `recover`. The marker of a named load
+is then kept in `.done`, and a load whose id is there is skipped. Each load writes into folders of
+its own, so that several may append to a table at the same time.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import threading
 import uuid
+from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunemart import shared_files as files
 
+MARKER, DONE, ANONYMOUS = "_COMMITTED", ".done", "unnamed-"
 _ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 # Reservations of keys that are kept; only the last one is needed.
 KEPT_RESERVATIONS = 20
+# Loads of one driver move their folders one after the other.
+_one_at_a_time = threading.Lock()
 
 
 def database_folder(spark: SparkSession, database: str) -> str:
@@ -44,10 +49,12 @@ class Part:
 
 
 class Load:
-    """What one load writes; nothing of it is visible before `commit`."""
+    """What one load writes; nothing of it is visible before `commit`. Without an id nothing of it
+    is kept on record afterwards."""
 
     def __init__(self, spark: SparkSession, database: str, load_id: str | None = None):
-        load_id = uuid.uuid4().hex if load_id is None else load_id
+        self.named = load_id is not None
+        load_id = load_id if self.named else f"{ANONYMOUS}{uuid.uuid4().hex}"
         if not _ID.fullmatch(load_id):
             raise ValueError(f"a load id has letters, digits, '_', '.' and '-' only, got {load_id!r}")
         self.spark, self.database, self.load_id = spark, database, load_id
@@ -56,9 +63,9 @@ class Load:
         self.counts: list[dict] = []
 
     def begin(self) -> bool:
-        """False if this load was committed before; else clear what an attempt left."""
+        """False if committed before; else clear what an attempt left."""
         recover(self.spark, self.database)
-        if files.exists(self.spark, f"{self.folder}/_COMMITTED"):
+        if files.exists(self.spark, f"{home(self.spark, self.database)}/{DONE}/{self.load_id}"):
             return False
         files.delete(self.spark, self.folder)
         return True
@@ -70,25 +77,35 @@ class Load:
     def count(self, table: str, verdict: str, n: int) -> None:
         self.counts.append({"load_id": self.load_id, "table_name": table, "verdict": verdict, "n_records": n})
 
-    def commit(self) -> None:
+    def mark(self) -> None:
+        """Write the marker: from here on the load counts."""
         found = {"parts": [vars(p) for p in self.parts], "counts": self.counts}
-        if not files.write_new(self.spark, f"{self.folder}/_COMMITTED", json.dumps(found)):
+        if not files.write_new(self.spark, f"{self.folder}/{MARKER}", json.dumps(found)):
             raise RuntimeError(f"load {self.load_id} was committed by someone else meanwhile")
+
+    def commit(self) -> None:
+        self.mark()
         publish(self.spark, self.database, self.load_id)
 
 
 def publish(spark: SparkSession, database: str, load_id: str) -> None:
     """Move what a committed load wrote into its tables; steps that were done are skipped."""
-    folder = f"{home(spark, database)}/{load_id}"
-    for part in json.loads(files.read_text(spark, f"{folder}/_COMMITTED"))["parts"]:
-        table = f"`{database}`.`{part['table']}`"
-        source = f"{folder}/{part['folder']}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({part['columns']}) USING parquet {READ_FOLDERS}")
-        if files.exists(spark, source):
-            kept = re.sub(r"\W+", "-", part["folder"])
-            files.move(spark, source, f"{location(spark, table)}/load-{load_id}-{kept}")
-        spark.catalog.refreshTable(table)
-    files.write_new(spark, f"{folder}/_PUBLISHED", "")
+    folder, done = f"{home(spark, database)}/{load_id}", f"{home(spark, database)}/{DONE}/{load_id}"
+    with _one_at_a_time:
+        if not files.exists(spark, f"{folder}/{MARKER}"):
+            return  # someone else was quicker
+        text = files.read_text(spark, f"{folder}/{MARKER}")
+        for part in json.loads(text)["parts"]:
+            table = f"`{database}`.`{part['table']}`"
+            source = f"{folder}/{part['folder']}"
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({part['columns']}) USING parquet {READ_FOLDERS}")
+            if files.exists(spark, source):
+                kept = re.sub(r"\W+", "-", part["folder"])
+                files.move(spark, source, f"{location(spark, table)}/load-{load_id}-{kept}")
+            spark.catalog.refreshTable(table)
+        if not load_id.startswith(ANONYMOUS):
+            files.write_new(spark, done, text)
+        files.delete(spark, folder)
 
 
 # Tables read the folders that loads were moved to, besides files of their own.
@@ -104,17 +121,16 @@ def recover(spark: SparkSession, database: str) -> None:
     """Finish the loads that were committed but not moved into their tables."""
     folder = home(spark, database)
     for load_id in files.names(spark, folder):
-        if _ID.fullmatch(load_id) and files.exists(spark, f"{folder}/{load_id}/_COMMITTED"):
-            if not files.exists(spark, f"{folder}/{load_id}/_PUBLISHED"):
-                publish(spark, database, load_id)
+        if _ID.fullmatch(load_id) and files.exists(spark, f"{folder}/{load_id}/{MARKER}"):
+            publish(spark, database, load_id)
 
 
 def committed(spark: SparkSession, database: str) -> DataFrame:
-    """(load_id, table_name, verdict, n_records) of the loads that counted their records."""
-    schema = "parts array<string>, counts array<struct<load_id string, table_name string, verdict string, n_records long>>"
-    folder = home(spark, database)
-    markers = [f"{folder}/{n}/_COMMITTED" for n in files.names(spark, folder) if files.exists(spark, f"{folder}/{n}/_COMMITTED")]
-    texts = [(files.read_text(spark, m),) for m in markers]  # a line for each load
+    """(load_id, table_name, verdict, n_records) of the named loads that counted their records."""
+    recover(spark, database)
+    schema = "counts array<struct<load_id string, table_name string, verdict string, n_records long>>"
+    folder = f"{home(spark, database)}/{DONE}"
+    texts = [(files.read_text(spark, f"{folder}/{n}"),) for n in files.names(spark, folder)]  # one for each load
     found = spark.createDataFrame(texts, "text string").select(F.from_json("text", schema).alias("m"))
     return found.select(F.explode("m.counts").alias("c")).select("c.*")
 

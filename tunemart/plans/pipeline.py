@@ -84,6 +84,18 @@ def _stage(spark: SparkSession, load: Load, cfg: LoadConfig, table: Table, rows:
         load.count(table.name, verdict, counts.get(verdict, 0))
 
 
+def stage_inputs(spark: SparkSession, load: Load, cfg: LoadConfig) -> None:
+    """Parse and write both inputs into a load."""
+    common = {
+        "on_bad_record": cfg.on_bad_record,
+        "on_bad_value": cfg.on_bad_value,
+        "multiline": cfg.multiline,
+    }
+    paths = read_path_map(spark, cfg.log_jsonpath) if cfg.log_jsonpath else None
+    _stage(spark, load, cfg, STAGING_EVENTS, read_events(spark, cfg.log_data, paths=paths, **common))
+    _stage(spark, load, cfg, STAGING_SONGS, read_songs(spark, cfg.song_data, **common))
+
+
 def load_staging(spark: SparkSession, cfg: LoadConfig) -> tuple[DataFrame, DataFrame]:
     """Append both data sets to the staging tables and return these.
 
@@ -92,14 +104,7 @@ def load_staging(spark: SparkSession, cfg: LoadConfig) -> tuple[DataFrame, DataF
     """
     load = Load(spark, cfg.database, cfg.load_id and f"{cfg.load_id}.staging")
     if load.begin():
-        common = {
-            "on_bad_record": cfg.on_bad_record,
-            "on_bad_value": cfg.on_bad_value,
-            "multiline": cfg.multiline,
-        }
-        paths = read_path_map(spark, cfg.log_jsonpath) if cfg.log_jsonpath else None
-        _stage(spark, load, cfg, STAGING_EVENTS, read_events(spark, cfg.log_data, paths=paths, **common))
-        _stage(spark, load, cfg, STAGING_SONGS, read_songs(spark, cfg.song_data, **common))
+        stage_inputs(spark, load, cfg)
         load.commit()
     return staged(spark, cfg.database)
 

@@ -166,7 +166,9 @@ def add_to_load(
 ) -> None:
     """Write rows of a table, and its rejects, into a load, which makes them visible later."""
     spark, database, table = df.sparkSession, load.database, TABLES[name]
-    with scratch.scope(), _keys(spark, database, f"{load.load_id}.{name}") as start:
+    owner = f"{load.load_id}.{name}" if load.named else None
+    last_key = lambda: next_key(spark, database)
+    with scratch.scope(), reserved_keys(spark, database, last_key, owner) as start:
         rows, rejects = _rows_and_rejects(df, table, on_violation, ordered_keys, start)
         write_part(rows, table, database, f"{load.folder}/{name}")
         if rejects is not None:
@@ -178,10 +180,6 @@ def add_to_load(
         load.add(f"{name}_rejects", f"{name}_rejects", reject_columns(table))
 
 
-def _keys(spark: SparkSession, database: str, owner: str | None = None):
-    return reserved_keys(spark, database, lambda: next_key(spark, database), owner)
-
-
 def append(
     df: DataFrame,
     name: str,
@@ -193,26 +191,14 @@ def append(
     """Append rows by column name, in one commit: a failing row leaves none of them behind.
 
     The identity column is assigned here if `df` does not bring it. A broken NOT NULL or
-    length limit raises; with "reject" such rows go to `<table>_rejects` instead, after the
-    others are there, so that an append that fails leaves no rejects either.
-
-    With a `load_id` rows and rejects become visible by one marker, and an append with an id
-    that is on record already does nothing (see `tunemart.plans.loads`).
+    length limit raises; with "reject" such rows go to `<table>_rejects` instead. Rows and
+    rejects count from one marker on, and an append with a `load_id` that is on record already
+    does nothing (see `tunemart.plans.loads`). Several appends may run at the same time.
     """
-    spark, table = df.sparkSession, TABLES[name]
-    if load_id is not None:
-        load = Load(spark, database, load_id)
-        if load.begin():
-            add_to_load(load, df, name, on_violation, ordered_keys)
-            load.commit()
-        return
-    target = full_name(table, database)
-    with scratch.scope(), _keys(spark, database) as start:
-        rows, rejects = _rows_and_rejects(df, table, on_violation, ordered_keys, start)
-        _placed(rows, table, _details(spark, target).get("Num Buckets")).write.insertInto(target)
-        if rejects is not None:
-            kept = rejects.drop(*{table.identity or "reason"} - {"reason"})
-            kept.write.mode("append").format("parquet").saveAsTable(reject_name(table, database))
+    load = Load(df.sparkSession, database, load_id)
+    if load.begin():
+        add_to_load(load, df, name, on_violation, ordered_keys)
+        load.commit()
 
 
 def _read_buckets(spark: SparkSession, table: Table, database: str) -> DataFrame:

@@ -67,6 +67,14 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_dealt(df: DataFrame, by: str, n: int) -> DataFrame:
+    """Write a result as files dealt out by a column, so that grouping by it moves no rows."""
+    spark = df.sparkSession
+    name = f"`{new_database(spark)}`.dealt"
+    df.write.bucketBy(n, by).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def release(items: list[_Item] | None = None) -> None:
     """Remove what was handed out, last first: all of it, or the given items."""
     for item in reversed(_handed_out[:] if items is None else items):
