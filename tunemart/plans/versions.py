@@ -29,8 +29,12 @@ def _tables(spark: SparkSession, database: str) -> list[str]:
 
 def _describe(spark: SparkSession, name: str) -> dict:
     """What it takes to create a table again."""
-    details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    columns = ", ".join(f"`{c.name}` {c.dataType}{'' if c.nullable else ' NOT NULL'}" for c in spark.catalog.listColumns(name.replace("`", "")))
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    details = {r.col_name: r.data_type for r in rows}
+    fields = spark.table(name).schema.fields
+    columns = ", ".join(
+        f"`{f.name}` {r.data_type}{'' if f.nullable else ' NOT NULL'}" for f, r in zip(fields, rows)
+    )
     layout = ""
     if "Num Buckets" in details:
         key, sort = (details[k].strip("[]`") for k in ("Bucket Columns", "Sort Columns"))
