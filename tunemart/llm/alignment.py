@@ -45,7 +45,7 @@ from tunemart.llm.bpe import byte_characters
 STEP_CHARS = 1024**2
 UNIT_CHARS = 16 * 1024**2
 # Different words of which a worker remembers the tokens, and their characters, before it starts anew.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 16 * 1024**2
+REMEMBERED, REMEMBERED_CHARS = 400_000, 16 * 1024**2
 
 RESULT = T.StructType(
     [T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
@@ -71,8 +71,8 @@ def byte_level_tokens(document: str) -> tuple[Callable, list[bytes]]:
 def piece_tokens(document: bytes) -> tuple[Callable, list[bytes], list[str]]:
     """Encoder of word lists, bytes of each id, and pieces of a model that puts a blank in front.
 
-    The blank is left away again: a word that starts with one is encoded without it, before any
-    other the piece of the added blank stands alone.
+    The blank is left away again: a word that starts with one is encoded without it, any other
+    behind a line end, which is in no piece, so that the tokens of both stand apart.
     """
     from sentencepiece import SentencePieceProcessor
 
@@ -80,19 +80,23 @@ def piece_tokens(document: bytes) -> tuple[Callable, list[bytes], list[str]]:
     ids = range(made.get_piece_size())
     pieces = [made.id_to_piece(i) for i in ids]
     table = [bytes([int(p[3:5], 16)]) if made.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ids, pieces)]
+    merging = [p for i, p in zip(ids, pieces) if not (made.is_byte(i) or made.is_control(i) or made.is_unknown(i))]
+    if any("\n" in p for p in merging):
+        raise ValueError("a model with line ends in its pieces cannot be taken word by word")
+    # What stands before a word's own tokens, and the tokens of a blank alone.
+    front, single = len(made.encode("\n")), [made.piece_to_id("▁")]
 
     def encode(words: list[str]) -> list[list[int]]:
         blank = [w.startswith(" ") for w in words]
-        found = made.encode([w[1:] if b else w for w, b in zip(words, blank)], num_threads=1)
-        # Nothing is put in front of nothing.
-        single = made.piece_to_id("▁")
-        return [(f or [single]) if b else f[1:] for f, b in zip(found, blank)]
+        found = made.encode([w[1:] if b else f"\n{w}" for w, b in zip(words, blank)], num_threads=1)
+        return [(f or single) if b else f[front:] for f, b in zip(found, blank)]
 
-    return encode, table, [p for i, p in zip(ids, pieces) if not made.is_byte(i)]
+    return encode, table, merging
 
 
 def word_pattern(pieces: list[str]) -> str:
-    """Words of white space and what follows it, cut where no piece goes on into white space.
+    """Words of white space and what follows it, cut where no piece goes on into white space, and
+    between a letter and a mark that follows no letter in any piece.
 
     White space stays whole. Python counts 1C to 1F as white space, the tokenizers don't.
     """
@@ -100,7 +104,10 @@ def word_pattern(pieces: list[str]) -> str:
     bridge = "".join(re.escape(c) for c in sorted(inside))
     space, rest = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
     joined = rf"(?:[{bridge}]{space}*{rest}*)*" if bridge else ""
-    return rf"{space}*{rest}+{joined}|{space}+"
+    behind = {y for p in pieces for x, y in zip(p, p[1:]) if x.isalpha()}
+    marks = "".join(re.escape(c) for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c not in behind)
+    letters = rf"{space}*[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[{marks}])|" if marks else ""
+    return rf"{letters}{space}*{rest}+{joined}|{space}+"
 
 
 class Ragged:
@@ -175,7 +182,8 @@ def skip_diagonals(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray,
     """
     n, i, j = len(a), 0, 0
     a, b = [*a, -1], [*b, -2]  # these differ, so that no run goes past the end
-    runs, group_i, group_j, link_i, link_j = [], [], [], [], []
+    runs, from_i, from_j, group_i, group_j, link_i = [], [], [], [], [], []
+    met = link_i.append
     while True:
         start, width = i, 1
         while a[i : i + width] == b[j : j + width]:
@@ -189,8 +197,9 @@ def skip_diagonals(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray,
         if i >= n:
             break
         x, y = a[i], b[j]
-        link_i.append(i)
-        link_j.append(j)
+        from_i.append(i)
+        from_j.append(j)
+        met(i)
         while x != y:
             if x < y:
                 i += 1
@@ -198,20 +207,22 @@ def skip_diagonals(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray,
             else:
                 j += 1
                 y = b[j]
-            link_i.append(i)
-            link_j.append(j)
+            met(i)
         i, j = i + 1, j + 1
         group_i.append(i)
         group_j.append(j)
     starts, shifts, lengths = np.array(runs, np.int64).reshape(-1, 3).T
     run_i = np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
     run_j = run_i + np.repeat(shifts, lengths)
-    ends_i = np.concatenate([run_i + 1, np.array(group_i, np.int64)])
-    ends_j = np.concatenate([run_j + 1, np.array(group_j, np.int64)])
+    from_i, from_j, group_i, group_j, link_i = (np.array(x, np.int64) for x in (from_i, from_j, group_i, group_j, link_i))
+    ends_i, ends_j = np.concatenate([run_i + 1, group_i]), np.concatenate([run_j + 1, group_j])
+    # Each link of a group is one step along one side from the one before it.
+    sizes = group_i - from_i + group_j - from_j - 1
+    steps = np.arange(len(link_i)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    link_j = np.repeat(from_i + from_j, sizes) + steps - link_i
+    links_i, links_j = np.concatenate([run_i, link_i]), np.concatenate([run_j, link_j])
     order = np.argsort(ends_i, kind="stable")
-    links_i = np.concatenate([run_i, np.array(link_i, np.int64)])
-    links_j = np.concatenate([run_j, np.array(link_j, np.int64)])
-    along = np.argsort(links_i + links_j, kind="stable")  # each link takes one step along one side
+    along = np.argsort(links_i + links_j, kind="stable")
     return ends_i[order], ends_j[order], links_i[along], links_j[along]
 
 
