@@ -37,7 +37,7 @@ def vocabulary(path: str) -> bytes:
 def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of documents that stand in a document before, too."""
     found = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
-    return found.drop("text_mark")
+    return found.drop("text_mark", "text_crc")
 
 
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

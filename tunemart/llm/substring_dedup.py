@@ -12,13 +12,16 @@ are enough: chunks of chance do not stand in a row.
 
 Defined cases: NULL and empty texts have no chunks; a text without any place to cut is cut every
 MAX_CHUNK bytes; documents of one id count as one, so that neither loses what it shares with
-the other, and equal rows are treated alike; a NULL id comes after all others. No cut falls
-inside a UTF-8 character, none of those made by `cut` inside a word.
+the other, and equal rows are treated alike; a NULL id comes after all others, and rows without
+one count as one document as well. Texts of one id are told apart by 96 bits of their hashes. An
+empty table gives an empty one; columns beyond id and text pass through `cut`, whatever their
+names. No cut falls inside a UTF-8 character, none of those made by `cut` inside a word.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,11 +38,10 @@ WINDOW = 16  # bytes that the rolling hash sees: its bits
 MASK_BITS = 4  # one place in 2^4 may be a cut
 MIN_CHUNK, MAX_CHUNK = 16, 256
 MIN_BYTES = 80
-LAST_ID = (1 << 63) - 1  # stands for a NULL id
 SLICE = 4 * 1024**2
-TEXT_BITS, SIZE_BITS = 20, 10
+SIZE_BITS = 10
 
-CHUNKS = "doc_id long, at long, again boolean, digest long"
+CHUNKS = "doc_id long, mark long, crc int, at long, again boolean, digest long"
 
 
 @lru_cache(maxsize=1)
@@ -82,10 +84,10 @@ def cut_places(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, again, digest) of every chunk of (doc_id, text).
+    """(doc_id, mark, crc, at, again, digest) of every chunk of (doc_id, text).
 
-    `at` packs 20 bits of the text's hash, which tell texts of one id apart, where the chunk
-    starts and its size. `again` says that the document had the chunk before.
+    `mark` and `crc` are hashes of the whole text, which tell texts of one id apart. `at` packs
+    where the chunk starts and its size. `again` says that the document had the chunk before.
     """
     names = [c.split()[0] for c in CHUNKS.split(", ")]
 
@@ -107,18 +109,18 @@ def chunks(docs: DataFrame) -> DataFrame:
             same = (digests[order][1:] == digests[order][:-1]) & (text[order][1:] == text[order][:-1])
             again = np.zeros(len(order), bool)
             again[order[1:]] = same
-            marks = np.array([digest(t, 42) >> (64 - TEXT_BITS) for t in texts], np.int64)
-            at = marks[text] << (63 - TEXT_BITS) | (starts - (stops - lengths)[text]) << SIZE_BITS | ends - starts
+            marks = np.array([digest(t, 42) for t in texts], np.uint64).view(np.int64)
+            crcs = np.array([zlib.crc32(t) for t in texts], np.uint32).view(np.int32)
+            at = (starts - (stops - lengths)[text]) << SIZE_BITS | ends - starts
             ids = batch.column("doc_id").take(pa.array(text))
-            yield pa.RecordBatch.from_arrays(
-                [ids.fill_null(LAST_ID), pa.array(at), pa.array(again), pa.array(digests)], names=names
-            )
+            found = [pa.array(c) for c in (marks[text], crcs[text], at, again, digests)]
+            yield pa.RecordBatch.from_arrays([ids, *found], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, CHUNKS)
 
 
 def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """One row per passage that is repeated: (doc_id, text_mark, start_byte, end_byte,
+    """One row per passage that is repeated: (doc_id, text_mark, text_crc, start_byte, end_byte,
     n_chunks, first_ids), `first_ids` being the documents that have its chunks first.
 
     Chunk rows are counted by digest, which combines copies before the shuffle, and joined to
@@ -127,35 +129,30 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     found = scratch.materialize(chunks(docs), "chunks")
     first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
     shared = first.filter("n > 1").select("digest", "first_id")
-    repeated = found.join(shared, "digest").filter("again OR doc_id <> first_id")
-    start = f"(at & {(1 << (63 - TEXT_BITS)) - 1}) >> {SIZE_BITS}"
+    other = ~F.col("doc_id").eqNullSafe(F.col("first_id"))
+    repeated = found.join(shared, "digest").filter(F.col("again") | other)
+    start = F.shiftright("at", SIZE_BITS)
     placed = repeated.select(
         "doc_id",
-        F.expr(f"at >> {63 - TEXT_BITS}").alias("text_mark"),
-        F.expr(start).alias("start_byte"),
-        F.expr(f"({start}) + (at & {(1 << SIZE_BITS) - 1})").alias("end_byte"),
+        F.col("mark").alias("text_mark"),
+        F.col("crc").alias("text_crc"),
+        start.alias("start_byte"),
+        (start + F.col("at").bitwiseAND(F.lit((1 << SIZE_BITS) - 1))).alias("end_byte"),
         "first_id",
     ).distinct()
     # One text's chunks come together, which its length bounds.
-    text = Window.partitionBy("doc_id", "text_mark").orderBy("start_byte")
+    one_text = ("doc_id", "text_mark", "text_crc")
+    text = Window.partitionBy(*one_text).orderBy("start_byte")
     begins = (F.lag("end_byte").over(text).eqNullSafe(F.col("start_byte"))).cast("int")
     runs = placed.withColumn("begins", 1 - begins).withColumn("run", F.sum("begins").over(text))
-    passages = runs.groupBy("doc_id", "text_mark", "run").agg(
+    first_ids = F.array_sort(F.collect_set(F.struct("first_id")))  # NULL is an id, too
+    passages = runs.groupBy(*one_text, "run").agg(
         F.min("start_byte").alias("start_byte"),
         F.max("end_byte").alias("end_byte"),
         F.count("*").alias("n_chunks"),
-        F.array_sort(F.collect_set("first_id")).alias("first_ids"),
-    )
-    long_enough = passages.filter(F.col("end_byte") - F.col("start_byte") >= min_bytes)
-    known = lambda c: F.when(c != LAST_ID, c)
-    return long_enough.select(
-        known(F.col("doc_id")).alias("doc_id"),
-        "text_mark",
-        "start_byte",
-        "end_byte",
-        "n_chunks",
-        F.transform("first_ids", known).alias("first_ids"),
+        F.transform(first_ids, lambda x: x["first_id"]).alias("first_ids"),
     )
+    return passages.filter(F.col("end_byte") - F.col("start_byte") >= min_bytes).drop("run")
 
 
 def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -176,11 +173,17 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def cut(docs: DataFrame, passages: DataFrame, text: str = "text") -> DataFrame:
     """The documents, all columns, their texts without the passages found in them."""
     [spans_name] = fresh(docs, "spans")
-    spans = passages.groupBy(F.col("doc_id").alias("id"), F.col("text_mark").alias("mark")).agg(
+    own = ("doc_id", "text_mark", "text_crc")
+    spans = passages.groupBy(*[F.col(c).alias(f"_{c}") for c in own]).agg(
         F.collect_list(F.struct("start_byte", "end_byte")).alias(spans_name)
     )
-    mark = F.shiftrightunsigned(F.xxhash64(F.coalesce(docs[text], F.lit(""))), 64 - TEXT_BITS)
-    same = docs["doc_id"].eqNullSafe(spans["id"]) & (mark == spans["mark"])
+    content = F.coalesce(docs[text], F.lit(""))
+    # The 32 bits as a signed number, as the chunks have them.
+    crc = F.shiftright(F.shiftleft(F.crc32(content.cast("binary")), 32), 32)
+    mark = F.xxhash64(content)
+    same = (
+        docs["doc_id"].eqNullSafe(spans["_doc_id"]) & (mark == spans["_text_mark"]) & (crc == spans["_text_crc"])
+    )
     joined = docs.join(spans, same, "left").select(*[docs[c] for c in docs.columns], spans[spans_name])
     names, place = docs.columns, docs.columns.index(text)
 
