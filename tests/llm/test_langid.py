@@ -8,7 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import SF_DIR
+from conftest import ROOT, SF_DIR
 from pyspark.sql import functions as F
 
 from tunemart.llm import langid, queries
@@ -97,6 +97,109 @@ def test_learned_languages_and_rejection(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in found if not r.rejected}
 
 
+def test_blocks_give_what_whole_texts_give(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab .. 1é\n") for _ in range(n)) for n in (0, 3, 200, 90, 41, 40, 39, 700, 1)]
+    texts += [" " * 130 + "ab" + " " * 95 + "ba", "." * 200, "a" * 80 + " "]
+    whole = list(langid.blocks(texts))
+    assert len(whole) == 1
+    model = fit({"x": ["ab abba. b" * 9, "a"], "y": ["é a é", "bé"]})
+    entropy, counts, variance = langid.entropies(model, texts)
+    symbols, sizes = langid.to_symbols(texts)
+    expected = Counter(zip(*[b.tolist() for b in langid.histories(symbols, sizes)]))
+    monkeypatch.setattr(langid, "BLOCK", 40)
+    parts = list(langid.blocks(texts))
+    assert max(len(b[0]) for _, _, b in parts) <= 43 and len(parts) > 20
+    assert sum((Counter(zip(*[x.tolist() for x in b])) for _, _, b in parts), Counter()) == expected
+    again = langid.entropies(model, texts)
+    assert (again[1] == counts).all() and np.allclose(again[0], entropy) and np.allclose(again[2], variance)
+
+
+def test_query_equals_plain_scores(spark):
+    """Language and score of every row of the query, from dictionaries of the same sample."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
+    rows = docs.withColumn("learn", learn).collect()
+    sample = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    out = F.pmod(F.xxhash64("doc_id", "text", F.lit("part")), F.lit(5)) == 0
+    texts = {}
+    for r in sample.filter(~out).select("lang", "text").collect():  # fewer than a sample holds
+        texts.setdefault(r.lang, []).append(r.text)
+    assert all(len(t) < langid.DOCS_PER_LANGUAGE for t in texts.values())
+    tables = {}
+    for lang in sorted(texts):
+        back = langid.histories(*langid.to_symbols(texts[lang]))
+        counts = {langid.ORDER: Counter(zip(*[b.tolist() for b in back[::-1]]))}
+        for k in range(langid.ORDER - 1, 0, -1):
+            counts[k] = Counter(g[1:] for g in counts[k + 1])
+        heads, kinds, discount = {}, {}, {}
+        for k, grams in counts.items():
+            for g, c in grams.items():
+                heads[g[:-1], k] = heads.get((g[:-1], k), 0) + c
+                kinds[g[:-1], k] = kinds.get((g[:-1], k), 0) + 1
+            ones, twos = (sum(c == x for c in grams.values()) for x in (1, 2))
+            discount[k] = min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
+        tables[lang] = counts, heads, kinds, discount, {}
+
+    def chance(lang, gram):
+        counts, heads, kinds, discount, known = tables[lang]
+        if gram not in known:
+            k = len(gram)
+            if not k:
+                known[gram] = 1 / (len(counts[1]) + 1)
+            elif not (total := heads.get((gram[:-1], k), 0)):
+                known[gram] = chance(lang, gram[1:])
+            else:
+                own = max(counts[k].get(gram, 0) - discount[k], 0)
+                known[gram] = (own + discount[k] * kinds[gram[:-1], k] * chance(lang, gram[1:])) / total
+        return known[gram]
+
+    found = {r.doc_id: r for r in queries.op5_language(spark, SF_DIR).collect()}
+    assert len(found) == len(rows)
+    for r in rows:
+        symbols, n = langid.to_symbols([r.text or ""])
+        got = found[r.doc_id]
+        assert got.held_out == (not r.learn)
+        if not n[0]:
+            assert (got.lang_pred, got.score) == ("und", 0.0)
+            continue
+        grams = list(zip(*[b.tolist() for b in langid.histories(symbols, n)[::-1]]))
+        entropy = {k: -sum(math.log(chance(k, g)) for g in grams) / n[0] for k in tables}
+        least = min(entropy.values())
+        assert entropy[got.lang_pred] == pytest.approx(least, abs=1e-5)
+        assert got.score == pytest.approx(1 / sum(math.exp(-(e - least) * min(n[0], 20)) for e in entropy.values()), abs=1e-4)
+
+
+def test_sample_stays_bounded_whatever_the_ids(spark):
+    rows = [(None if k % 2 else 7, f"text of number {k} here", "en") for k in range(2000)] + [(1, "same words", "en")] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen, materialize = [], langid.scratch.materialize
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(langid.scratch, "materialize", lambda df, p: (seen.append(df), materialize(df, p))[1])
+        langid.train(docs, F.lit(True), docs_per_language=100)
+    assert seen[0].select("text").distinct().count() < 200 and seen[0].filter("doc_id IS NULL").count() == 0
+
+
+def test_very_long_text_in_bounded_memory():
+    import subprocess
+    import sys
+
+    script = """
+import resource
+from tunemart.llm import langid
+import numpy as np
+model = langid.fit(["a", "b"], np.array([0, 1]), np.array([[97, 98, 99, 100], [98, 97, 98, 97]]), np.array([3, 2]))
+model.usual = np.tile([0.0, 1.0, 1.0, np.inf], (2, 1))
+text = "abcd bab a " * (50 * 2**20 // 11)
+langid.decide(model, ["abcd"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+langid.decide(model, [text])
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    found = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True, cwd=ROOT)
+    assert int(found.stdout) < 300
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     model = langid.train(docs, F.lit(True))

@@ -10,9 +10,13 @@ A fifth of the sample is kept out of the counts. Its cross-entropies, as mean an
 length, say how far from its language's usual value a text lies; one that lies further out than
 any text of that language is expected to is marked as rejected.
 
-Defined cases: NULL texts and texts without a letter are `und`, score 0, rejected; NULL ids are
-never learned from; with no labelled text every text is `und`; copies are scored alike; long
-texts are scored whole; languages tie in favour of the first by name.
+Texts are walked in blocks of bounded size, sums and the symbols before a block being carried on.
+
+Defined cases: NULL texts and texts without a letter are `und`, score 0, rejected; rows without an
+id are never learned from, those of one id are drawn by their texts; with no labelled text every
+text is `und`; copies are scored alike; long texts are scored whole; languages tie in favour of
+the first by name; an empty table gives an empty one; a kept column that is called like an added
+one is an error, other columns don't matter.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunemart import scratch
 from tunemart.llm.common import slices
 
 ORDER = 4
@@ -39,6 +44,8 @@ LEAST_LIMIT, LIMIT_MARGIN = 8.0, 1.5
 # Least variance between texts of a language, in nats per symbol squared: few texts kept out
 # say little about it.
 LEAST_BETWEEN = 0.01
+# Characters that are scored or counted at a time.
+BLOCK = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -91,6 +98,43 @@ def hashes(back: list[np.ndarray]) -> np.ndarray:
     return code
 
 
+def ranges(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of BLOCK characters together at most; a longer text is a range of its own."""
+    start, held = 0, 0
+    for k, text in enumerate(texts):
+        if k > start and held + len(text) > BLOCK:
+            yield start, k
+            start, held = k, 0
+        held += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def long_histories(text: str) -> Iterator[list[np.ndarray]]:
+    """The histories of a long text, block by block, as `histories` gives them for the whole."""
+    tail = np.zeros(0, np.uint32)
+    for at in range(0, len(text), BLOCK):
+        part = text[at : at + BLOCK]
+        found, _ = to_symbols([part])
+        if len(tail) and tail[-1] != BLANK and symbols()[ord(part[0])] == BLANK:
+            found = np.concatenate([np.array([BLANK], np.uint32), found])
+        joined = np.concatenate([tail, found])
+        back = histories(joined, np.array([len(joined)]))
+        yield [b[len(tail) :] for b in back]
+        tail = joined[-(ORDER - 1) :]
+
+
+def blocks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """(numbers of texts, symbols that each has here, histories); a long text comes in several."""
+    for start, stop in ranges(texts):
+        if len(texts[start]) > BLOCK:
+            for back in long_histories(texts[start]):
+                yield np.array([start]), np.array([len(back[0])]), back
+        else:
+            found, counts = to_symbols(texts[start:stop])
+            yield np.arange(start, stop), counts, histories(found, counts)
+
+
 def ngram_counts(sample: DataFrame) -> DataFrame:
     """(lang, s3, s2, s1, s0, n) over the texts of (lang, text)."""
     names = [f"s{k}" for k in reversed(range(ORDER))]
@@ -101,12 +145,12 @@ def ngram_counts(sample: DataFrame) -> DataFrame:
             langs = np.array(batch.column("lang").to_pylist(), object)
             texts = np.array(batch.column("text").to_pylist(), object)
             for lang in sorted({*langs}):
-                back = histories(*to_symbols(texts[langs == lang].tolist()))
-                if not len(back[0]):
-                    continue
-                grams, n = np.unique(np.stack(back[::-1], 1).astype(np.int32), axis=0, return_counts=True)
-                columns = [pa.array([lang] * len(n)), *map(pa.array, grams.T.copy()), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n"])
+                for _, _, back in blocks(texts[langs == lang].tolist()):
+                    if not len(back[0]):
+                        continue
+                    grams, n = np.unique(np.stack(back[::-1], 1).astype(np.int32), axis=0, return_counts=True)
+                    columns = [pa.array([lang] * len(n)), *map(pa.array, grams.T.copy()), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n"])
 
     counts = sample.select("lang", "text").mapInArrow(run, schema)
     return counts.groupBy("lang", *names).agg(F.sum("n").alias("n"))
@@ -201,15 +245,16 @@ def log_chances(model: Model, back: list[np.ndarray], order: int = ORDER) -> np.
 
 def entropies(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By text: cross-entropy per symbol and language, number of symbols, squared deviations."""
-    found, counts = to_symbols(texts)
     sums = np.zeros((len(texts), len(model.languages)))
-    squares = np.zeros_like(sums)
-    full = np.flatnonzero(counts)
-    if len(full):
-        logs = log_chances(model, histories(found, counts))
-        starts = (np.cumsum(counts) - counts)[full]
-        sums[full] = np.add.reduceat(logs, starts, axis=0, dtype=np.float64)
-        squares[full] = np.add.reduceat(logs * logs, starts, axis=0, dtype=np.float64)
+    squares, counts = np.zeros_like(sums), np.zeros(len(texts), np.int64)
+    for own, sizes, back in blocks(texts):
+        full = np.flatnonzero(sizes)
+        if len(full):
+            logs = log_chances(model, back)
+            starts = (np.cumsum(sizes) - sizes)[full]
+            sums[own[full]] += np.add.reduceat(logs, starts, axis=0, dtype=np.float64)
+            squares[own[full]] += np.add.reduceat(logs * logs, starts, axis=0, dtype=np.float64)
+            counts[own] += sizes
     n = np.maximum(counts, 1)[:, None]
     return -sums / n, counts, squares / n - (sums / n) ** 2
 
@@ -238,17 +283,18 @@ def train(
 
     The bound keeps the model, and what passes through the driver, at one size for any input.
     """
-    labelled = docs.filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    labelled = docs.filter(learn_from & known)
     labelled = labelled.select(F.col("lang").cast("string").alias("lang"), "text", "doc_id")
     totals = dict(labelled.groupBy("lang").count().collect())  # one row for each language
     languages = sorted(totals)
     if not languages:
         return Model([], [], np.zeros(0))
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, docs_per_language / totals[k]))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000)) / 1_000_000
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("draw")), F.lit(1_000_000)) / 1_000_000
     # The hash that keeps a fifth out is another one than that which draws the sample.
-    kept_out = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(5)) == 0
-    sample = labelled.filter(draw < share[F.col("lang")])
+    kept_out = F.pmod(F.xxhash64("doc_id", "text", F.lit("part")), F.lit(5)) == 0
+    sample = scratch.materialize(labelled.filter(draw < share[F.col("lang")]), "sample")
     counted = ngram_counts(sample.filter(~kept_out)).toArrow()
     number = {lang: k for k, lang in enumerate(languages)}
     lang = np.array([number[x] for x in counted.column("lang").to_pylist()], np.int64)
@@ -260,7 +306,8 @@ def train(
 
 
 def _measured(sample: DataFrame, model: Model) -> pa.Table:
-    """For each text kept out: its language's number, cross-entropy, symbols and variance."""
+    """For each different text kept out: its language's number, cross-entropy, symbols, variance
+    and number of copies."""
     shared = sample.sparkSession.sparkContext.broadcast(model)
     names = ["k", "h", "n", "v"]
 
@@ -273,20 +320,21 @@ def _measured(sample: DataFrame, model: Model) -> pa.Table:
             columns = (own, entropy[row, own], counts, variance[row, own])
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    return sample.select("lang", "text").mapInArrow(run, "k long, h double, n long, v double").toArrow()
+    found = sample.select("lang", "text").mapInArrow(run, "k long, h double, n long, v double")
+    return found.groupBy(*names).agg(F.count("*").alias("copies")).toArrow()
 
 
 def calibrate_from(model: Model, measured: pa.Table) -> None:
     """Mean and spread of each language's own texts, as a function of their length."""
-    number, h, n, v = (measured.column(c).to_numpy() for c in ("k", "h", "n", "v"))
+    number, h, n, v, copies = (measured.column(c).to_numpy() for c in ("k", "h", "n", "v", "copies"))
     usual = np.tile([0.0, 1.0, 1.0, np.inf], (len(model.languages), 1))
     for k in range(len(model.languages)):
         own = np.flatnonzero((number == k) & (n > 0))
-        if len(own) < 2:
+        if copies[own].sum() < 2:
             continue  # nothing to judge by: no text is rejected
-        weights = np.minimum(n[own], 500)
+        weights = np.minimum(n[own], 500) * copies[own]
         mean = np.average(h[own], weights=weights)
-        by_symbol = np.average(v[own], weights=n[own])
+        by_symbol = np.average(v[own], weights=n[own] * copies[own])
         between = max(np.average((h[own] - mean) ** 2 - by_symbol / n[own], weights=weights), LEAST_BETWEEN)
         far = np.max((h[own] - mean) / np.sqrt(between + by_symbol / n[own]))
         usual[k] = mean, between, by_symbol, max(LEAST_LIMIT, LIMIT_MARGIN * far)
