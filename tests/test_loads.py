@@ -194,7 +194,7 @@ def test_old_files_stay_until_the_next_refresh(spark, database, tmp_path):
     assert set(counts(spark, database).values()) == {0}
 
 
-@pytest.mark.parametrize("cut_at", range(4))
+@pytest.mark.parametrize("cut_at", [0, 3])
 def test_cut_off_switch_is_finished(spark, database, tmp_path, monkeypatch, cut_at):
     cfg = LoadConfig.from_ini(write_inputs(tmp_path), database=database, buckets=4, on_violation="reject")
     pipeline.run(spark, cfg)
