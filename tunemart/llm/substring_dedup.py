@@ -31,7 +31,6 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunemart import scratch
 from tunemart.llm.common import fresh, slices
 
 WINDOW = 16  # bytes that the rolling hash sees: its bits
@@ -126,7 +125,7 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     Chunk rows are counted by digest, which combines copies before the shuffle, and joined to
     the digests that occur more than once; a very frequent digest is split by that join.
     """
-    found = scratch.materialize(chunks(docs), "chunks")
+    found = chunks(docs)  # cut twice, which takes less room than writing 40 rows a KiB of text
     first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
     shared = first.filter("n > 1").select("digest", "first_id")
     other = ~F.col("doc_id").eqNullSafe(F.col("first_id"))
