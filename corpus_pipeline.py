@@ -42,7 +42,9 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token ids of every document (packed), with digests of them and of what they decode to."""
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = f.read()
+    # Written in between: else each task would hold two Python workers with a vocabulary each.
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=("doc_id", "lang", "source"))
+    encoded = scratch.materialize(encoded, "encoded")
     return bpe.decode(encoded, ranks).select(
         "doc_id",
         "lang",
