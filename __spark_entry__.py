@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import warnings
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
