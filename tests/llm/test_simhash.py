@@ -66,6 +66,46 @@ def test_keys_meet_within_two_bits():
         assert {*keys[rows == 0]} & {*keys[rows == 1]}
 
 
+        # So do the finer keys of every key that both have.
+        both, finer = simhash.finer_keys(fps[rows], keys)
+        for key in {*keys[rows == 0]} & {*keys[rows == 1]}:
+            meet = [{*finer[(rows[both] == k) & (keys[both] == key)]} for k in (0, 1)]
+            assert meet[0] & meet[1]
+
+
+def test_key_rows():
+    fps = np.random.default_rng(4).integers(-(2**63), 2**63, 5_000, dtype=np.int64)
+    rows, keys = simhash.fingerprint_keys(fps)
+    assert np.bincount(rows).max() <= 18
+    assert len({*zip(rows.tolist(), keys.tolist())}) == len(rows)
+
+
+@pytest.mark.parametrize("crowd", [1, 3, 10, 64])
+def test_crowded_keys(spark, crowd):
+    rng = random.Random(crowd)
+    base = rng.getrandbits(64)
+    # Alike in one segment, and in all but some bits of the others.
+    values = {base ^ sum(1 << b for b in rng.sample(range(22, 64), rng.randrange(6))) for _ in range(300)}
+    values |= {rng.getrandbits(64) for _ in range(50)}
+    fps = {k: int(np.uint64(v).view(np.int64)) for k, v in enumerate(sorted(values))}
+    df = spark.createDataFrame([(v,) for v in fps.values()], "fp long")
+    found = [tuple(r) for r in simhash.links(df, 2, crowd).collect()]
+    assert len({*found}) == len(found)
+    assert crowd < 64 or all(((a ^ b) & (2**64 - 1)).bit_count() <= 2 for a, b in found)
+    label = {v: v for v in fps.values()}
+    while True:
+        before = dict(label)
+        for a, b in found:
+            label[a] = label[b] = min(label[a], label[b])
+        if label == before:
+            break
+    plain = plain_groups(dict(enumerate(sorted(values))))
+    groups = {}
+    for k, v in fps.items():
+        groups.setdefault(plain[k], set()).add(label[v])
+    assert all(len(g) == 1 for g in groups.values()) and len({*label.values()}) == len(groups)
+
+
 @pytest.mark.parametrize("distance", [0, 1, 2])
 def test_links_of_chains_and_crowds(spark, distance):
     rng = random.Random(distance)

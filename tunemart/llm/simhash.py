@@ -6,10 +6,14 @@ Golay code gives a segment few keys such that segments within two bits share one
 numbers to which the segment and its 23 neighbours decode. So a key is one segment as it is and
 a codeword number of the next, and linked fingerprints share one of their 3 to 18 keys.
 
-Fingerprints that share a key with no other are done. The others are verified without listing
-pairs: two fingerprints are within two bits exactly if some 64-bit word is within one bit of
-both, so each is joined to its 65 such words, and all that meet at a word are linked to the
-smallest there. That finds every link's end points in one component, and links nothing else.
+Fingerprints are joined by key and verified by counting the bits in which they differ. Pairs are
+listed only among the fingerprints of keys that few share. Where more than CROWD of them share
+one, each gets finer keys: the same one with the codeword numbers of the remaining segment,
+in which linked fingerprints are within two bits as well. What is crowded even then, thousands of
+different fingerprints all alike but for a few bits, is linked without pairs: two fingerprints are
+within two bits exactly if some 64-bit word is within one bit of both, so each is joined to its
+65 such words, and all that meet at a word are linked to the smallest there. All three ways find
+every link's end points in one component, and link nothing else.
 
 Defined cases: NULL and empty texts, and such without words, have fingerprint zero, linked like
 any other; copies share a fingerprint, and only different ones are searched; a NULL id stays a
@@ -38,6 +42,7 @@ GOLAY_LENGTH, GOLAY_DATA = 23, 12
 # Fixed value: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the (23, 12) Golay code.
 GOLAY_POLYNOMIAL = 0b110001110101
 MOST_DISTANCE = 2
+CROWD = 64  # fingerprints of a key that are compared as pairs, at most
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -113,10 +118,14 @@ def golay_keys(segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, near[rows, columns]
 
 
+def _segments(fps: np.ndarray) -> list[np.ndarray]:
+    words = fps.view(np.uint64)
+    return [(words >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.uint32) for at, n in SEGMENTS]
+
+
 def fingerprint_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, key): for each segment, itself with the Golay keys of the segment after it."""
-    words = fps.view(np.uint64)
-    parts = [(words >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.uint32) for at, n in SEGMENTS]
+    parts = _segments(fps)
     all_rows, all_keys = [], []
     for k, exact in enumerate(parts):
         rows, numbers = golay_keys(parts[(k + 1) % len(parts)])
@@ -126,13 +135,21 @@ def fingerprint_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(all_rows), np.concatenate(all_keys)
 
 
-def _pairs(column: pa.Array, make) -> Iterator[pa.RecordBatch]:
-    """Batches (fp, key) of what `make` gives for blocks of fingerprints."""
-    fps = np.ascontiguousarray(column.to_numpy(zero_copy_only=False), np.int64)
-    for k in range(0, len(fps), 4_096):
-        block = fps[k : k + 4_096]
-        rows, keys = make(block)
-        yield pa.RecordBatch.from_arrays([pa.array(block[rows]), pa.array(keys)], names=["fp", "key"])
+def finer_keys(fps: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key): each key with the Golay keys of the segment that it leaves out."""
+    parts = np.stack(_segments(fps))
+    left_out = ((keys >> 34) + 2) % len(parts)
+    rows, numbers = golay_keys(parts[left_out, np.arange(len(fps))])
+    return rows, (keys[rows] << GOLAY_DATA) | numbers
+
+
+def _pairs(make, *columns: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Batches (fp, key) of what `make` gives for blocks of fingerprints, the first column."""
+    arrays = [np.ascontiguousarray(c.to_numpy(zero_copy_only=False), np.int64) for c in columns]
+    for k in range(0, len(arrays[0]), 4_096):
+        block = [a[k : k + 4_096] for a in arrays]
+        rows, keys = make(*block)
+        yield pa.RecordBatch.from_arrays([pa.array(block[0][rows]), pa.array(keys)], names=["fp", "key"])
 
 
 def _neighbours(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,32 +161,64 @@ def _neighbours(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _by_golay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from _pairs(batch.column("fp"), fingerprint_keys)
+        yield from _pairs(fingerprint_keys, batch.column("fp"))
+
+
+def _by_finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from _pairs(finer_keys, batch.column("fp"), batch.column("key"))
 
 
 def _by_neighbour(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from _pairs(batch.column("fp"), _neighbours)
+        yield from _pairs(_neighbours, batch.column("fp"))
 
 
-def links(fps: DataFrame, max_distance: int = MOST_DISTANCE) -> DataFrame:
-    """Edges (u, v) whose components are those of all different `fp` within `max_distance` bits."""
-    if not 0 <= max_distance <= MOST_DISTANCE:
-        raise ValueError(f"max_distance must be 0 to {MOST_DISTANCE}")
-    different = fps.select("fp").distinct()
-    keyed = different.mapInArrow(_by_golay, "fp long, key long")
-    shared = keyed.groupBy("key").count().filter("count > 1").select("key")
-    candidates = scratch.materialize(keyed.join(shared, "key", "left_semi").select("fp").distinct(), "near")
+def _company(keyed: DataFrame) -> DataFrame:
+    """(fp, key, n) of the keys that more than one, namely n, fingerprints have, written."""
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    return scratch.materialize(keyed.join(sizes, "key").select("fp", "key", "n"), "company")
+
+
+def _verified(company: DataFrame, max_distance: int, crowd: int) -> DataFrame:
+    """Pairs (u, v), u < v, within `max_distance` bits at keys that `crowd` share, or fewer."""
+    few = company.filter(F.col("n") <= crowd)
+    met = few.select("key", F.col("fp").alias("u")).join(few.select("key", F.col("fp").alias("v")), "key")
+    near = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_distance)
+    return met.filter(near).select("u", "v")
+
+
+def _met_at_words(crowded: DataFrame, max_distance: int) -> DataFrame:
+    """Edges (u, v) of different fingerprints by the words within a bit of them."""
+    words = crowded.mapInArrow(_by_neighbour, "fp long, key long")
     if max_distance < 2:
         # Within one bit: one of the two is itself the word where they meet.
-        words = candidates.mapInArrow(_by_neighbour, "fp long, key long")
-        here = candidates.withColumnRenamed("fp", "key")
-        found = words.join(here, "key", "left_semi").select(F.col("fp").alias("u"), F.col("key").alias("v"))
-        return found.filter("u <> v") if max_distance else found.filter("false")
-    words = candidates.mapInArrow(_by_neighbour, "fp long, key long")
+        here = crowded.withColumnRenamed("fp", "key")
+        return words.join(here, "key", "left_semi").select(F.col("fp").alias("u"), F.col("key").alias("v"))
     met = words.groupBy("key").agg(F.min("fp").alias("v"), F.count("*").alias("n")).filter("n > 1")
-    found = words.join(met.select("key", "v"), "key").filter("fp <> v")
-    return found.select(F.col("fp").alias("u"), "v").distinct()
+    return words.join(met.select("key", "v"), "key").select(F.col("fp").alias("u"), "v")
+
+
+def links(fps: DataFrame, max_distance: int = MOST_DISTANCE, crowd: int = CROWD) -> DataFrame:
+    """Edges (u, v) whose components are those of all different `fp` within `max_distance` bits.
+
+    No edge is listed twice.
+    """
+    if not 0 <= max_distance <= MOST_DISTANCE:
+        raise ValueError(f"max_distance must be 0 to {MOST_DISTANCE}")
+    different = fps.select("fp").distinct()
+    if not max_distance:
+        return different.select(F.col("fp").alias("u"), F.col("fp").alias("v")).filter("false")
+    company = _company(different.mapInArrow(_by_golay, "fp long, key long"))
+    found = _verified(company, max_distance, crowd)
+    crowded = company.filter(F.col("n") > crowd)
+    if not crowded.isEmpty():
+        company = _company(crowded.mapInArrow(_by_finer, "fp long, key long"))
+        found = found.union(_verified(company, max_distance, crowd))
+        crowded = company.filter(F.col("n") > crowd)
+        if not crowded.isEmpty():
+            found = found.union(_met_at_words(crowded.select("fp").distinct(), max_distance))
+    return found.filter("u <> v").distinct()
 
 
 def components(marked: DataFrame, max_distance: int) -> DataFrame:
