@@ -7,6 +7,7 @@ import hashlib
 from base64 import b32encode
 
 import pyarrow.fs
+import pytest
 from pyspark.sql import functions as F
 
 from tunemart import scratch
@@ -62,7 +63,7 @@ def test_small_payloads_stay(spark):
 def test_archives_are_warc_files(spark):
     folder = scratch.new_folder(spark, "warc")
     placed = warc.write_archives(spark.createDataFrame(PAGES, SCHEMA).coalesce(1), folder, limit=500)
-    files, root = pyarrow.fs.FileSystem.from_uri(warc._as_uri(folder))
+    files, root = pyarrow.fs.FileSystem.from_uri(warc.shared_uri(spark, folder))
     names = {r.archive for r in placed.collect()}
     assert len(names) > 1
     payloads = []
@@ -72,11 +73,46 @@ def test_archives_are_warc_files(spark):
         assert plain.startswith(b"WARC/1.1\r\n") and plain.endswith(b"\r\n\r\n")
         records = list(warc.parse(plain))
         assert len({r.fields["WARC-Record-ID"] for r in records}) == len(records)
-        payloads += [r.payload.decode() for r in records]
-        for at, record in warc.read_records(warc._as_uri(folder), name):
+        assert records[0].kind == "warcinfo" and records[0].fields["WARC-Filename"] == name
+        assert {r.kind for r in records[1:]} == {"response"}
+        for r in records:
+            assert r.fields["WARC-Block-Digest"] == f"sha1:{warc.payload_digest(r.block)}"
+            assert r is records[0] or r.fields["WARC-Warcinfo-ID"] == records[0].fields["WARC-Record-ID"]
+        payloads += [r.payload.decode() for r in records[1:]]
+        for at, record in warc.read_records(warc.shared_uri(spark, folder), name):
             assert next(warc.parse(gzip.decompress(content[at:]))).fields == record.fields
     assert sorted(payloads) == sorted(h or "" for _, _, h in PAGES)
 
 
+def test_rewriting_gives_fresh_headers(spark):
+    raw, final = scratch.new_folder(spark, "warc"), scratch.new_folder(spark, "warc")
+    then, later = "2020-01-02T03:04:05Z", "2021-02-03T04:05:06Z"
+    placed = warc.write_archives(spark.createDataFrame(PAGES, SCHEMA).repartition(3), raw, 700, then)
+    old = scratch.materialize(warc.headers(placed, raw), "old")
+    decisions = old.select("archive", "position").join(warc.resolve(old), ["archive", "position"], "left")
+    new = warc.headers(warc.rewrite(decisions, raw, final, 700, later), final).collect()
+    before = old.collect()
+    assert len(new) == len(before) == len(PAGES)
+    assert len({r.record_id for r in new} | {r.record_id for r in before}) == 2 * len(PAGES)
+    assert {r.date for r in before} == {then} and {r.date for r in new} == {later}
+    by_id = {r.record_id: r for r in new}
+    revisits = [r for r in new if r.record_type == "revisit"]
+    assert len(revisits) == 6
+    for r in revisits:
+        original = by_id[r.refers_to_id]
+        assert original.record_type == "response" and original.page_id == r.refers_to
+        assert (r.refers_to_url, r.refers_to_date) == (original.url, original.date)
+    for name in {r.archive for r in new}:
+        for _, record in warc.read_records(warc.shared_uri(spark, final), name):
+            assert record.fields["WARC-Block-Digest"] == f"sha1:{warc.payload_digest(record.block)}"
+            assert int(record.fields["Content-Length"]) == len(record.block)
+
+
+def test_folders_are_resolved_as_spark_does(spark, tmp_path):
+    assert warc.shared_uri(spark, str(tmp_path)) == warc.shared_uri(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+    with pytest.raises(ValueError, match="http:"):
+        warc.shared_uri(spark, "http://host/folder")
+
+
 def test_empty_table(spark):
     assert warc.deduplicate(spark.createDataFrame([], SCHEMA)).count() == 0
