@@ -312,3 +312,15 @@ def test_records_that_span_lines(spark, tmp_path, mode):
     folder = write_lines(tmp_path, json.dumps({"song_id": "S1", "year": 1999}, indent=2), name="a.json")
     rows = read_songs(spark, folder, multiline=True, on_bad_record=mode).collect()
     assert [(r.song_id, r.year) for r in rows] == [("S1", 1999)]
+
+
+def test_nested_paths_share_their_field(spark, tmp_path):
+    """One parse for all paths, without a walk of whole records."""
+    record = {"user": {"id": "39", "names": ["Ann", "Lee"]}, "page": "NextSong", "rest": {"x": [1, 2]}}
+    folder = write_lines(tmp_path, record, {"user": "nobody", "page": "Home"}, {"user": None})
+    paths = nested_paths(userId="$.user.id", firstName="$.user.names[0]", lastName="$['user']['names'][1]")
+    rows = read_events(spark, folder, paths=paths)
+    found = {(r.userId, r.firstName, r.lastName, r.page) for r in rows.collect()}
+    assert found == {(39, "Ann", "Lee", "NextSong"), (None, None, None, "Home"), (None, None, None, None)}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "parse_json" not in plan and "schema_of_variant" not in plan

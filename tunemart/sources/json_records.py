@@ -19,7 +19,7 @@ CORRUPT = "_corrupt_record"
 # What may surround a record: white space, and the mark that starts some UTF-8 files.
 BLANKS = " \t\r\n\ufeff"
 
-_TOP_LEVEL = re.compile(r"\$(?:\.(\w+)|\['([^']+)'\]|\[\"([^\"]+)\"\])")
+_FIRST_STEP = re.compile(r"\$(?:\.(\w+)|\['([^']+)'\]|\[\"([^\"]+)\"\])((?:[.\[].*)?)")
 
 
 def default_paths(table: Table) -> list[str]:
@@ -33,14 +33,15 @@ def read_path_map(spark: SparkSession, location: str) -> list[str]:
     return json.loads(document)["jsonpaths"]
 
 
-def _top_level_names(paths: list[str]) -> list[str] | None:
-    """Field names if every path is one top-level field, spelled unambiguously; else None."""
-    matches = [_TOP_LEVEL.fullmatch(p) for p in paths]
+def _first_steps(paths: list[str]) -> list[tuple[str, str]] | None:
+    """Top-level field and the path from there, if fields are spelled unambiguously; else None."""
+    matches = [_FIRST_STEP.fullmatch(p) for p in paths]
     if not all(matches):
         return None
-    names = [next(g for g in m.groups() if g is not None) for m in matches]
+    steps = [(next(g for g in m.groups()[:3] if g is not None), f"${m[4]}") for m in matches]
+    names = {name for name, _ in steps}
     # Spark resolves columns without regard to case, JSON fields differ by case.
-    return names if len({n.lower() for n in names}) == len(set(names)) else None
+    return steps if len({n.lower() for n in names}) == len(names) else None
 
 
 def _texts(spark: SparkSession, location: str | list[str], multiline: bool, arrays: str) -> DataFrame:
@@ -60,11 +61,16 @@ def _texts(spark: SparkSession, location: str | list[str], multiline: bool, arra
     return trimmed.filter(value != "").select("value", as_list.alias("list"))
 
 
-def _by_name(names: list[str]) -> tuple[Column, Callable, list[Column]]:
-    """Records with top-level fields, other fields skipped; what is none; the values as text."""
-    fields = [T.StructField(n, T.VariantType()) for n in dict.fromkeys(names)]
+def _by_field(steps: list[tuple[str, str]]) -> tuple[Column, Callable, list[Column]]:
+    """Records with the top-level fields that paths go through, other fields skipped; what is
+    none; the values as text.
+
+    Paths through one field share it: it is taken out of the record once, and each of them
+    walks on from there.
+    """
+    fields = [T.StructField(n, T.VariantType()) for n in dict.fromkeys(name for name, _ in steps)]
     records = F.from_json("list", T.ArrayType(T.StructType(fields)))
-    return records, F.isnull, [F.try_variant_get(f"record.`{n}`", "$", "string") for n in names]
+    return records, F.isnull, [F.try_variant_get(f"record.`{n}`", rest, "string") for n, rest in steps]
 
 
 def _by_path(paths: list[str], arrays: str) -> tuple[Column, Callable, list[Column]]:
@@ -112,18 +118,19 @@ def read_records(
     (see `split_bad_records`). So does a value that does not fit its column; with "reject"
     it is listed in an extra column (see `split_bad_values`), with "null" it is NULL.
 
-    Records are taken apart by name where all paths are top-level fields, and by path else;
-    both give the same values, and parse a record once. A first path step that is a number
+    Records are taken apart by top-level field, and nested paths walk on from their field. Where
+    records are lists, or fields differ by case only, whole records are walked by path; that is
+    slower, gives the same values, and parses a record once as well. A first path step that is a number
     (`$[0]`) says that records are lists.
     """
     paths = default_paths(table) if paths is None else paths
     if len(paths) != len(table.columns):
         raise ValueError(f"{table.name} has {len(table.columns)} columns, got {len(paths)} paths")
     quarantine = on_bad_record == "quarantine"
-    names = _top_level_names(paths)
+    steps = _first_steps(paths)
     arrays = "record" if any(re.match(r"\$\[\d", p) for p in paths) else "records"
     texts = _texts(spark, location, multiline, arrays)
-    records, no_record, values = _by_path(paths, arrays) if names is None else _by_name(names)
+    records, no_record, values = _by_path(paths, arrays) if steps is None else _by_field(steps)
     rows = _rows(texts, records, no_record, quarantine)
     keep = (CORRUPT,) if quarantine else ()
     picked = rows.select(*[v.alias(c) for v, c in zip(values, table.column_names)], *keep)
