@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 
 from conftest import SF_DIR
@@ -19,6 +20,7 @@ BROKEN = QUESTION.replace("with 120", "with 345").replace("Berlin", "Madrid")
 
 
 def windows(text):
+    """Whether they are of words, and the windows by place."""
     found, values = template(text)
     width = min(WINDOW, len(found))
     out = {}
@@ -29,15 +31,32 @@ def windows(text):
     return out
 
 
+def plain_words(text):
+    """Words, and before which of them a sentence begins."""
+    rows = decontaminate.read(text)
+    return [v for _, v, _ in rows], [s for *_, s in rows] + [True]
+
+
+def holds(text, item):
+    """Whether an item without a window stands in a text word by word."""
+    (words, starts), (wanted, _) = plain_words(text), plain_words(item)
+    n = len(wanted)
+    places = [k for k in range(len(words) - n + 1) if n and words[k : k + n] == wanted]
+    return any(n >= decontaminate.LEAST_WORDS or starts[k] and starts[k + n] for k in places)
+
+
 def plain_matches(docs, items, coverage=0.6):
     index = defaultdict(list)
-    items = {i: windows(t) for i, t in items}
+    items = dict(items)
+    short = {i: t for i, t in items.items() if not windows(t) and any(c.isalnum() for c in t or "")}
+    items = {i: windows(t) for i, t in items.items()}
     for i, own in items.items():
         for k, (part, values) in own.items():
             index[part].append((i, k, values))
     widths = {len(p) for p in index}
     out = set()
     for doc, text in docs:
+        out |= {(doc, i) for i, t in short.items() if holds(text, t)}
         found, values = template(text)
         hits = defaultdict(list)
         for w in widths:
@@ -57,8 +76,11 @@ def plain_matches(docs, items, coverage=0.6):
 
 def test_templates():
     found, values = template("The 3 km to Rome cost $4.50. Then Ann ran 10 %!\nDas km")
-    assert found == "the <number> <unit> to <name> cost <number> then <name> ran <number> <unit> das km".split()
-    assert values[1] == "3" and values[4] == "rome"
+    assert found == "<name> <number> <unit> to <name> cost <number> <name> ran <number> <unit> <name> km".split()
+    assert values[1] == "3" and values[4] == "rome" and values[7] == "then ann"
+    found, values = template("In New York twenty-three men met Ann. Tom had two hundred")
+    assert found == "<name> <number> men met <name> <name> had <number>".split()
+    assert values == ["in new york", "twenty-three", "men", "met", "ann", "tom", "had", "two hundred"]
     assert template(None) == template(" \n ") == ([], [])
 
 
@@ -94,6 +116,49 @@ def test_reparameterised_questions(spark):
     assert decontaminate.matches(df.filter("false"), benchmark).count() == 0
 
 
+STORIES = (
+    "{a} has {m} apples. {a} gives {n} apples to {b}. {b} eats {k} of the apples and then asks how many are left.",
+    "A train goes from {p} to the old city of {q} in {m} hours. How fast does the train go if the way to {q} is {n} km long?",
+    "A farmer has {x} cows and buys {y} more cows on the market. Then {a} sells {k} of them. How many cows are there now?",
+)
+NAMES = "Tom Anna Ben Mary Igor Chloe".split() + ["Jean Paul", "Mary Ann"]
+PLACES = ["Paris", "Rome", "New York", "San Francisco", "Oslo", "Rio de Janeiro", "Bonn"]
+SPELLED = "two seven twelve thirty-one nine".split() + ["two hundred"]
+
+
+def story(rng, k):
+    (a, b), (p, q), (x, y) = rng.sample(NAMES, 2), rng.sample(PLACES, 2), rng.sample(SPELLED, 2)
+    m, n, k_ = rng.sample(range(2, 900), 3)
+    return STORIES[k].format(a=a, b=b, p=p, q=q, x=x, y=y, m=m, n=n, k=k_)
+
+
+def test_recall_of_reparameterised_items(spark):
+    rng = random.Random(5)
+    items = [(k, story(rng, k)) for k in range(len(STORIES))]
+    fill = "nobody asks about these words here and "
+    docs = [(k, fill + story(rng, k % 3) + " " + fill) for k in range(150)]
+    docs += [(1000 + k, fill * (k + 1)) for k in range(10)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.matches(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert all(r.doc_id < 1000 and r.doc_id % 3 == r.item_id for r in found)
+    assert len(found) >= 0.9 * 150
+
+
+def test_items_without_a_template_are_found_as_they_are(spark):
+    items = [(1, "What is 17 * 23?"), (2, "Who is Ann?"), (3, "...")]
+    docs = [
+        (1, "He asked: what is 17 * 23? Nobody knew."),
+        (2, "What is 17 * 24?"),
+        (3, "Some text here. Who is Ann? Nobody knew."),
+        (4, "They know who is Ann and who is not"),
+        (5, "one line\nWho is Ann\nanother line"),
+        (6, "... 17 * 23 ..."),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.matches(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (3, 2), (5, 2)} == plain_matches(docs, items)
+
+
 def test_texts_of_one_id_are_told_apart(spark):
     df = spark.createDataFrame([(1, QUESTION), (1, "a clean text of few words")], "doc_id long, text string")
     benchmark = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
