@@ -8,6 +8,7 @@ import sys
 import warnings
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -467,6 +468,13 @@ def bucketed_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def plays_of_a_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays and users of each song in one week, from the tables in their layout."""
+    database = _staged_database(spark, sf_dir)
+    _load(spark, database, "factSongPlay", "dimSong")
+    return tables.plays_between(spark, datetime(2024, 1, 8), datetime(2024, 1, 15), database)
+
+
 def star_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten most played artists, as SQL on the loaded tables."""
     database = _staged_database(spark, sf_dir)
@@ -514,6 +522,7 @@ def queries() -> dict[str, Query]:
         "load_verdicts": load_verdicts,
         "concurrent_appends": concurrent_appends,
         "bucketed_star_join": bucketed_star_join,
+        "plays_of_a_week": plays_of_a_week,
         "star_adhoc": star_adhoc,
         **LLM_QUERIES,
     }

@@ -281,6 +281,12 @@ LEFT JOIN (
         "bucketed_star_join": f"""
 SELECT f.start_time, f.user_id, f.session_id, f.song_id, f.artist_id, d.title, d.year, d.duration
 FROM ({FACT}) f JOIN ({DIM_SONG}) d ON f.song_id = d.song_id
+""",
+        "plays_of_a_week": f"""
+SELECT f.song_id, d.title, count(*) AS plays, count(DISTINCT f.user_id) AS users
+FROM ({FACT}) f JOIN ({DIM_SONG}) d ON f.song_id = d.song_id
+WHERE f.start_time >= TIMESTAMP '2024-01-08' AND f.start_time < TIMESTAMP '2024-01-15'
+GROUP BY f.song_id, d.title
 """,
         "star_adhoc": f"""
 SELECT a.artist_id, a.artist_name, count(*) AS plays

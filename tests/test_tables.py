@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ from tunemart import (
 from tunemart.__main__ import main
 from tunemart.operators import constraints
 from tunemart.plans.pipeline import size_of
-from tunemart.plans.tables import join_song_dimension, next_key
-from tunemart.schemas import DIM_SONG, DIM_USER, STAGING, STAR, TABLES
+from tunemart.plans.tables import join_song_dimension, next_key, plays_between
+from tunemart.schemas import DIM_SONG, DIM_USER, ROW_GROUP_BYTES, STAGING, STAR, TABLES
 from tunemart.session import (
     LEAST_BUCKETS,
     bucket_count_for,
@@ -231,6 +233,61 @@ def test_co_located_join(spark, conf, database, hot):
         assert "Exchange" not in plan
 
 
+def plays_of_days(spark, n, days):
+    """Plays spread over songs and days."""
+    return spark.range(n).select(
+        F.expr(f"TIMESTAMP_NTZ '2018-01-01 00:00:00' + make_dt_interval(id % {days}, 0, 0, id % 86400)").alias("start_time"),
+        (F.col("id") % 1000).cast("int").alias("user_id"),
+        F.concat(F.lit("S"), (F.hash("id") % 200 + 200).cast("string")).alias("song_id"),
+        F.lit("A1").alias("artist_id"),
+        F.col("id").cast("int").alias("session_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("user_agent"),
+    )
+
+
+def row_groups(spark, table):
+    """First and last time of each row group, by file."""
+    for path in spark.table(table).inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file:").replace("//", "/")).metadata
+        column = next(i for i in range(meta.num_columns) if meta.schema.column(i).name == "start_time")
+        for i in range(meta.num_row_groups):
+            found = meta.row_group(i).column(column).statistics
+            yield path, found.min, found.max
+
+
+def test_a_day_reads_few_row_groups_and_keeps_the_placement(spark, conf, database, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__autoBroadcastJoinThreshold=-1)
+    monkeypatch.setitem(TABLES, "factSongPlay", replace(TABLES["factSongPlay"], row_group_bytes=128 * 1024))
+    create_tables(spark, database, 4)
+    append(plays_of_days(spark, 200_000, 100), "factSongPlay", database)
+    songs = spark.range(400).select(
+        F.concat(F.lit("S"), F.col("id").cast("string")).alias("song_id"),
+        F.lit("title").alias("title"),
+        F.lit("A1").alias("artist_id"),
+        F.lit(2000).alias("year"),
+        F.lit(Decimal(1)).cast("decimal(18,0)").alias("duration"),
+    )
+    append(songs, "dimSong", database)
+    start, end = datetime(2018, 2, 1), datetime(2018, 2, 2)
+    groups = list(row_groups(spark, f"{database}.factSongPlay"))
+    touched = [g for g in groups if g[1] < end and g[2] >= start]
+    assert len(groups) >= 60 and 0 < len(touched) < len(groups) / 10
+    result = plays_between(spark, start, end, database)
+    assert result.agg(F.sum("plays")).first()[0] == 2000
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert "PushedFilters: [" in plan and "GreaterThanOrEqual(start_time" in plan
+    both = plays_between(spark, start, end, database, co_located=False)
+    assert both.exceptAll(result).count() == 0 and result.exceptAll(both).count() == 0
+
+
+def test_production_row_groups_of_the_fact(spark, database):
+    create_tables(spark, database, 4)
+    properties = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.factSongPlay").collect()
+    stored = next(r.data_type for r in properties if r.col_name == "Storage Properties")
+    assert f"parquet.block.size={ROW_GROUP_BYTES}" in stored and "recursiveFileLookup=true" in stored
+
+
 def test_popular_bucket_is_written_by_several_tasks(spark, conf, database):
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="8k")
     create_tables(spark, database, 8)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,11 +43,16 @@ def reject_columns(table: Table) -> str:
 
 
 def create_statement(table: Table, name: str, buckets: int | None) -> str:
-    """DDL of one table: placement key = buckets, sort key = order inside a bucket."""
-    layout = ""
+    """DDL of one table: placement key = buckets, sort key = order inside a bucket.
+
+    A bucket is cut into time ranges (or ranges of whatever the sort key is) by its row groups.
+    """
+    layout, options = "", READ_FOLDERS
+    if table.row_group_bytes:
+        options = f"{READ_FOLDERS.removesuffix(')')}, `parquet.block.size` '{table.row_group_bytes}')"
     if table.dist and buckets:
         layout = f" CLUSTERED BY (`{table.dist}`) SORTED BY (`{table.sort}`) INTO {buckets} BUCKETS"
-    return f"CREATE TABLE IF NOT EXISTS {name} ({column_list(table)}) USING parquet {READ_FOLDERS}{layout}"
+    return f"CREATE TABLE IF NOT EXISTS {name} ({column_list(table)}) USING parquet {options}{layout}"
 
 
 def create_tables(
@@ -213,6 +219,21 @@ def _read_files(spark: SparkSession, table: Table, database: str) -> DataFrame:
     )
 
 
+def plays_between(
+    spark: SparkSession, start: datetime, end: datetime, database: str = "default", co_located: bool = True
+) -> DataFrame:
+    """Songs played from `start` up to, not including, `end`: title, plays and different users.
+
+    Both keys of the fact's layout serve: row groups outside the range are skipped, and within a
+    bucket the songs are joined and counted without an exchange of plays.
+    """
+    during = (F.col("start_time") >= F.lit(start)) & (F.col("start_time") < F.lit(end))
+    plays = join_song_dimension(spark, database, co_located, "merge" if co_located else None).filter(during)
+    return plays.groupBy("song_id", "title").agg(
+        F.count("*").alias("plays"), F.count_distinct("user_id").alias("users")
+    )
+
+
 def join_song_dimension(
     spark: SparkSession, database: str = "default", co_located: bool = False, hint: str | None = None
 ) -> DataFrame:
