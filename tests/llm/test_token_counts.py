@@ -69,6 +69,47 @@ def test_stream_batches_are_committed_once(spark):
     assert totals(rollup) == {("a", "en", "v1"): (2, 4)}
 
 
+def one(spark, n):
+    return batch(spark, ("a", "en", "v1", "insert", n, None))
+
+
+def test_compaction_keeps_totals_and_remembers_batches(spark):
+    rollup = Rollup(spark, scratch.new_folder(spark, "totals"))
+    assert rollup.compact() == 0 and totals(rollup) == {}
+    for n in (1, 2, 4):
+        rollup.commit(str(n), one(spark, n))
+    assert rollup.compact() == 3 and rollup.compact() == 0
+    assert rollup.batches() == [] and totals(rollup) == {("a", "en", "v1"): (3, 7)}
+    # Folders of what was absorbed are still there, and do not count again.
+    assert not rollup.commit("2", one(spark, 2))
+    assert rollup.commit("8", one(spark, 8)) and rollup.batches() == ["8"]
+    assert totals(rollup) == {("a", "en", "v1"): (4, 15)}
+    assert rollup.compact() == 1
+    # Those of the first base are gone, and their ids are known all the same.
+    assert rollup._ids("_SUCCESS", "batch=") == ["8"]
+    for n in (1, 2, 4, 8):
+        assert not Rollup(spark, rollup.folder).commit(str(n), one(spark, n))
+    assert totals(Rollup(spark, rollup.folder)) == {("a", "en", "v1"): (4, 15)}
+    assert rollup.commit("16", one(spark, 16)) and rollup.compact() == 1
+    assert rollup._bases() == [1, 2] and totals(rollup) == {("a", "en", "v1"): (5, 31)}
+    # What comes to nothing leaves the totals, not the ids.
+    gone = batch(spark, *[("a", "en", "v1", "delete", n, None) for n in (1, 2, 4, 8, 16)])
+    assert rollup.commit("gone", gone) and rollup.compact() == 1
+    assert totals(rollup) == {} and not rollup.commit("gone", gone)
+
+
+def test_compaction_that_was_cut_off_counts_for_nothing(spark):
+    rollup = Rollup(spark, scratch.new_folder(spark, "totals"))
+    rollup.commit("1", one(spark, 1))
+    rollup.compact()
+    rollup.commit("2", one(spark, 2))
+    # The next base without its marker, with totals that are not right.
+    rollup._sums(0, ["2"]).union(rollup._sums(0, ["2"])).write.parquet(f"{rollup.folder}/base=1/totals")
+    assert totals(rollup) == {("a", "en", "v1"): (2, 3)} and rollup.batches() == ["2"]
+    assert rollup.compact() == 1
+    assert totals(rollup) == {("a", "en", "v1"): (2, 3)} and rollup.batches() == []
+
+
 def test_tokenizers(spark):
     df = spark.createDataFrame([("It's 2.5 km,\tno\x0bé☃!",), ("",), (None,)], "t string")
     rows = df.select(token_counts.words(F.col("t")), token_counts.words_and_marks(F.col("t"))).collect()
