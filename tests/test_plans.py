@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from tunemart import scratch
 from tunemart.plans import dims, fact
@@ -81,3 +83,22 @@ def test_times_need_no_shuffle(staged):
     events, _ = staged
     text = plan(dims.dim_time(events))
     assert "Exchange" not in text and schemas(text) == [{"ts"}]
+
+
+def test_many_rows_in_small_files_are_not_broadcast(staged, spark, tmp_path):
+    number = F.col("id").cast("string")
+    songs = spark.range(150_000).select(
+        F.concat(F.lit("Song "), number).alias("title"), *[F.lit("x").alias(c) for c in ("artist_name", "song_id", "artist_id")]
+    )
+    songs.write.parquet(f"{tmp_path}/songs")
+    kept = spark.read.parquet(f"{tmp_path}/songs")
+    for df in (fact.song_plays(staged[0], kept), fact.matched_plays(staged[0], kept, how="left")):
+        assert "BroadcastExchange" not in plan(df)
+
+    for name in ("events", "part", "nation"):
+        shutil.copy(f"{SF_DIR}/{name}.parquet", tmp_path)
+    customers = spark.range(150_000).select(
+        F.col("id").alias("c_custkey"), number.alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit("x").alias("c_mktsegment")
+    )
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    assert "SortMergeJoin" in plan(staging_events(spark, str(tmp_path)))

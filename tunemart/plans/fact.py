@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tunemart.operators.joins import hinted, join_hint
 from tunemart.operators.keys import number_rows
 
 PLAY_PAGE = "NextSong"
+CATALOG = ["title", "artist_name", "song_id", "artist_id"]
 
 # Reproducible order of the plays; together the columns are unique.
 PLAY_ORDER = [
@@ -27,9 +29,13 @@ def matched_plays(events: DataFrame, songs: DataFrame, how: str = "inner") -> Da
 
     Neither duration nor id is compared, so songs that share both names multiply a play;
     a play without song or artist matches nothing. Spark broadcasts the songs while they
-    are small, else both sides are shuffled on the two names and adaptive execution splits
-    the partition of a very popular song.
+    are small and few, else both sides are shuffled on the two names and adaptive execution
+    splits the partition of a very popular song.
     """
+    return _matched(events, songs.select(*CATALOG), how, join_hint(songs))
+
+
+def _matched(events: DataFrame, catalog: DataFrame, how: str, hint: str | None) -> DataFrame:
     plays = events.filter(F.col("page") == PLAY_PAGE).select(
         F.col("ts").alias("start_time"),
         F.col("userId").alias("user_id"),
@@ -40,9 +46,8 @@ def matched_plays(events: DataFrame, songs: DataFrame, how: str = "inner") -> Da
         "song",
         "artist",
     )
-    catalog = songs.select("title", "artist_name", "song_id", "artist_id")
     same_song = (F.col("song") == F.col("title")) & (F.col("artist") == F.col("artist_name"))
-    return plays.join(catalog, same_song, how).select(
+    return plays.join(hinted(catalog, hint), same_song, how).select(
         "start_time",
         "user_id",
         "level",
@@ -60,8 +65,7 @@ def song_plays(events: DataFrame, songs: DataFrame) -> DataFrame:
     Copies of a song record are dropped before the join: they add nothing to a distinct
     result, and n copies would otherwise multiply every play of that song by n.
     """
-    catalog = songs.select("title", "artist_name", "song_id", "artist_id").distinct()
-    return matched_plays(events, catalog).distinct()
+    return _matched(events, songs.select(*CATALOG).distinct(), "inner", join_hint(songs)).distinct()
 
 
 def keyed_song_plays(plays: DataFrame, start: int = 0, ordered: bool = True) -> DataFrame:

@@ -11,6 +11,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunemart.operators.joins import hinted, join_hint
+
 ARTISTS = 97
 
 # The columns used, declared so that no file has to be opened to plan a query.
@@ -78,7 +80,7 @@ def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     named_artist = F.concat(F.lit("Artist "), (song_no % ARTISTS).cast("string"))
     once = (
-        events.join(customer, F.col("c_custkey") == F.col("user_id"))
+        events.join(hinted(customer, join_hint(customer)), F.col("c_custkey") == F.col("user_id"))
         .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
         .select(
             "event_id",
