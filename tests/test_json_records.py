@@ -324,3 +324,9 @@ def test_nested_paths_share_their_field(spark, tmp_path):
     assert found == {(39, "Ann", "Lee", "NextSong"), (None, None, None, "Home"), (None, None, None, None)}
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1 and "parse_json" not in plan and "schema_of_variant" not in plan
+
+
+def test_numbers_are_read_once(spark, tmp_path):
+    """Each of the seven numbers of a record is read in one place of the plan."""
+    rows = read_events(spark, write_lines(tmp_path, {"userId": 1}))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("as decimal(38,18))") == 7
