@@ -6,6 +6,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -150,3 +151,14 @@ def test_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
     rows = queries.op1_repeated_passages(spark, SF_DIR).collect()
     assert {(r.doc_id, r.start_byte, r.end_byte) for r in rows} == plain_passages(docs)
+
+
+def test_texts_of_a_large_batch_are_cut_a_slice_at_a_time():
+    texts = ["abc " * 256 * 1024] * 20
+    spans = [None, [{"start_byte": 0, "end_byte": 4}]] * 10
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts), pa.array(spans)], names=["doc_id", "text", "spans"])
+    parts = list(substring_dedup._without_spans([batch], 1))
+    assert max(sum(map(len, p.column(1).to_pylist())) for p in parts) <= substring_dedup.SLICE
+    kept = [n for p in parts for n in map(len, p.column(1).to_pylist())]
+    assert [p.schema.names for p in parts] == [["doc_id", "text"]] * len(parts)
+    assert len(kept) == 20 and kept[0] == 2**20 and kept[1] < 2**20

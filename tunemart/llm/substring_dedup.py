@@ -169,6 +169,23 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
+def _without_spans(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
+    """Batches without their last column, the spans to be cut from the texts at `place`.
+
+    Texts are taken a slice at a time: a batch of them may hold many times a slice.
+    """
+    for batch in batches:
+        for part in slices([batch], place, SLICE):
+            found = zip(part.column(place).to_pylist(), part.column(part.num_columns - 1).to_pylist())
+            texts = [
+                without(t.encode(), [(s["start_byte"], s["end_byte"]) for s in spans]).decode() if spans else t
+                for t, spans in found
+            ]
+            columns = list(part.columns[:-1])
+            columns[place] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1])
+
+
 def cut(docs: DataFrame, passages: DataFrame, text: str = "text") -> DataFrame:
     """The documents, all columns, their texts without the passages found in them."""
     [spans_name] = fresh(docs, "spans")
@@ -184,17 +201,5 @@ def cut(docs: DataFrame, passages: DataFrame, text: str = "text") -> DataFrame:
         docs["doc_id"].eqNullSafe(spans["_doc_id"]) & (mark == spans["_text_mark"]) & (crc == spans["_text_crc"])
     )
     joined = docs.join(spans, same, "left").select(*[docs[c] for c in docs.columns], spans[spans_name])
-    names, place = docs.columns, docs.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = zip(batch.column(place).to_pylist(), batch.column(len(names)).to_pylist())
-            texts = [
-                without(t.encode(), [(s["start_byte"], s["end_byte"]) for s in spans]).decode() if spans else t
-                for t, spans in found
-            ]
-            columns = list(batch.columns[: len(names)])
-            columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return joined.mapInArrow(run, docs.schema)
+    place = docs.columns.index(text)
+    return joined.mapInArrow(lambda batches: _without_spans(batches, place), docs.schema)
